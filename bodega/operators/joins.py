@@ -10,15 +10,15 @@ from pyspark.sql import functions as F
 SALTS = 64
 
 
-def heavy_keys(df: DataFrame, key: str, share: float = 0.01, tracked: int = 4096) -> list:
-    """Non-null keys holding at least ``share`` of the rows.
+def heavy_keys(df: DataFrame, key: str, share: float = 0.01, limit: int = 100) -> list:
+    """Non-null keys holding at least ``share`` of the rows, at most ``limit`` of them.
 
-    One pass over one column; the sketch state and the result (at most 1/share keys) have a
-    fixed size. The list only steers the salting of ``skew_join``, never its result.
+    One pass over one column; the sketch state and the result have a fixed size. The list only
+    steers the salting of ``skew_join``, never its result.
     """
     row = df.agg(
         F.count(key).alias("n"),
-        F.expr(f"approx_top_k(`{key}`, {min(int(1 / share), tracked)}, {tracked})").alias("top"),
+        F.expr(f"approx_top_k(`{key}`, {limit}, {limit * 100})").alias("top"),
     ).first()
     return [item["item"] for item in row["top"] or [] if item["count"] >= share * row["n"]]
 

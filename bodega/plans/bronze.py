@@ -8,7 +8,6 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,8 +19,9 @@ from bodega.schemas import (
     WATERMARK_SCHEMA,
     bronze_schema,
 )
+from bodega.session import folder_bytes, path_exists
 from bodega.sources.origins import Source
-from bodega.sources.tables import append_partitioned, read_table, stored_bytes
+from bodega.sources.tables import append_partitioned, read_table
 
 NO_NEW_ROWS = "Sin nuevos registros"
 
@@ -67,12 +67,9 @@ class LogRow:
 
 def read_watermarks(spark: SparkSession, run: BronzeRun) -> DataFrame:
     """The append-only store; created empty on the first run."""
-    try:
-        return read_table(spark, run.watermark_path, run.fmt, WATERMARK_SCHEMA)
-    except AnalysisException:
-        empty = spark.createDataFrame([], WATERMARK_SCHEMA)
-        empty.write.format(run.fmt).mode("append").save(run.watermark_path)
-        return read_table(spark, run.watermark_path, run.fmt, WATERMARK_SCHEMA)
+    if not path_exists(spark, run.watermark_path):
+        spark.createDataFrame([], WATERMARK_SCHEMA).write.format(run.fmt).mode("append").save(run.watermark_path)
+    return read_table(spark, run.watermark_path, run.fmt, WATERMARK_SCHEMA)
 
 
 def _append_row(spark: SparkSession, row: tuple, run: BronzeRun) -> None:
@@ -109,7 +106,7 @@ def ingest_table(spark: SparkSession, source: Source, table: str, run: BronzeRun
     if count == 0:
         return 0, 0
     _append_row(spark, (table, seen.get.get("last"), run.batch_id, run.run_ts), run)
-    return count, stored_bytes(spark, run.table_path(table), run.fmt).first()["bytes"]
+    return count, folder_bytes(spark, run.table_path(table))
 
 
 def ingest_all(spark: SparkSession, source: Source, run: BronzeRun,

@@ -80,7 +80,7 @@ class GoldBuilder:
     def _hot(self, fact: DataFrame, key: str, lookup_path: str) -> list:
         """Hot keys of a fact if its lookup is too large to be broadcast, else none."""
         run = self.run
-        if not large(self.spark, lookup_path, run.fmt, run.broadcast_bytes):
+        if not large(self.spark, lookup_path, run.broadcast_bytes):
             return []
         return heavy_keys(fact, key)
 

@@ -13,7 +13,8 @@ from bodega.operators.joins import heavy_keys
 from bodega.operators.quality import quality_report, run_summary
 from bodega.plans.bronze import BronzeRun, read_bronze, read_watermarks
 from bodega.schemas import TABLES, TableSpec
-from bodega.sources.tables import read_table, register_table, stored_bytes, write_table
+from bodega.session import folder_bytes
+from bodega.sources.tables import read_table, register_table, write_table
 
 
 @dataclass(frozen=True)
@@ -47,14 +48,14 @@ def read_rejects(spark: SparkSession, run: SilverRun, table: str) -> DataFrame:
     return rejected(read_table(spark, run.tagged_path(table), run.fmt))
 
 
-def large(spark: SparkSession, path: str, fmt: str, limit: int) -> bool:
+def large(spark: SparkSession, path: str, limit: int) -> bool:
     """Whether a stored table is beyond the broadcast limit, by the size of its files."""
-    return stored_bytes(spark, path, fmt).first()["bytes"] > limit
+    return folder_bytes(spark, path) > limit
 
 
 def _hot_parents(spark: SparkSession, run: SilverRun, bronze: DataFrame, spec: TableSpec) -> list:
     parent = spec.foreign_key.parent
-    if not large(spark, run.path(parent), run.fmt, run.broadcast_bytes):
+    if not large(spark, run.path(parent), run.broadcast_bytes):
         return []  # the parent keys are broadcast, no shuffle to be skewed
     return heavy_keys(bronze, spec.foreign_key.key)
 

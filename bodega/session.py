@@ -72,6 +72,17 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder, from the file system's listing alone (no job)."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(target).getLength()
+
+
 def remove_path(spark: SparkSession, path: str) -> bool:
     """Delete a folder of the lake through its own file system."""
     jvm = spark._jvm
