@@ -36,7 +36,10 @@ def add_audit_columns(df: DataFrame, source_system: str, batch_id: str, run_ts:
 
 
 def batch_watermark(batch: DataFrame, column: str, cap: str | None = None) -> DataFrame:
-    """(record_count, last_watermark) of a batch; ``cap`` limits dates lying in the future."""
+    """(record_count, last_watermark) of a batch; ``cap`` limits dates lying in the future.
+
+    Rows beyond the cap are read again by later runs; they need the per-key dedup of silver.
+    """
     latest = F.max(column)
     if cap is not None:
         latest = F.least(latest, F.lit(cap).cast(batch.schema[column].dataType))

@@ -16,7 +16,7 @@ def heavy_keys(df: DataFrame, key: str, share: float = 0.01, limit: int = 100) -
     One pass over one column; the sketch state and the result have a fixed size. The list only
     steers the salting of ``skew_join``, never its result.
     """
-    row = df.agg(
+    row = df.where(F.col(key).isNotNull()).agg(
         F.count(key).alias("n"),
         F.expr(f"approx_top_k(`{key}`, {limit}, {limit * 100})").alias("top"),
     ).first()

@@ -49,22 +49,25 @@ def interleave(buckets: Sequence[Column], bits: int = BITS) -> Column:
     return z
 
 
-def z_value(df: DataFrame, columns: Sequence[str], bits: int = BITS) -> Column:
-    """z-value of several columns, with bounds taken from ``df``."""
-    bounds = range_bounds(df, columns, bits)
+def z_value(df: DataFrame, columns: Sequence[str], bits: int = BITS,
+            bounds_from: DataFrame | None = None) -> Column:
+    """z-value of several columns, with bounds taken from ``bounds_from`` or ``df`` itself."""
+    bounds = range_bounds(df if bounds_from is None else bounds_from, columns, bits)
     return interleave([range_bucket(_as_number(df, c), bounds[c]) for c in columns], bits)
 
 
 def cluster(df: DataFrame, columns: Sequence[str], within: Sequence[str] = (), files: int | None = None,
-            bits: int = BITS) -> DataFrame:
+            bits: int = BITS, bounds_from: DataFrame | None = None) -> DataFrame:
     """Range-partition and sort ``df`` along its z-value (one column: along the column).
 
-    ``within`` are partition columns of the target, kept as leading range keys. A hash of the row
-    is the last range key, so one cell with very many rows is cut into several files.
+    ``within`` are partition columns of the target, kept as leading range keys, so a task holds
+    few of their values. A hash of the row is the last range key: one cell, date or group with
+    very many rows is cut into several tasks and files. Bounds only steer the layout; a stored
+    table with the same columns can give them (``bounds_from``) where ``df`` is costly to compute.
     """
     keep = df.columns
     tie = F.xxhash64(*[F.col(f"`{c}`") for c in keep])
-    along = F.col(columns[0]) if len(columns) == 1 else z_value(df, columns, bits)
+    along = F.col(columns[0]) if len(columns) == 1 else z_value(df, columns, bits, bounds_from)
     keyed = df.withColumns({"_z": along, "_tie": tie})
     keys = [*within, "_z", "_tie"]
     ranged = keyed.repartitionByRange(files, *keys) if files else keyed.repartitionByRange(*keys)

@@ -1,4 +1,4 @@
-"""Gold run: dimensions, facts, segments, marts, data rules, layout, catalog."""
+"""Gold run: dimensions, facts, segments and marts in their final layout, then the data rules."""
 
 from __future__ import annotations
 
@@ -19,10 +19,9 @@ from bodega.operators.quality import (
     rule_results,
 )
 from bodega.plans.silver import SilverRun, large, read_silver
-from bodega.session import remove_path
 from bodega.sources.tables import read_table, register_table, write_table
 
-# Tables that get a clustered layout, with the columns their readers filter on.
+# Tables with a clustered layout, and the columns their readers filter on.
 CLUSTERED = {
     "fact_ventas": ("canal_venta", "art_id", "id_tienda"),
     "fact_inventario": ("art_id", "id_tienda"),
@@ -46,32 +45,32 @@ class GoldRun:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def staging(self, table: str) -> str:
-        """Clustered tables are built here first and laid out into their final path."""
-        return f"{self.root}/_staging/{table}"
-
 
 class GoldBuilder:
     """Writes the gold tables one after another; later ones read the stored earlier ones."""
 
     def __init__(self, spark: SparkSession, run: GoldRun):
         self.spark, self.run = spark, run
+        self._open: dict[str, DataFrame] = {}
 
     def _silver(self, table: str) -> DataFrame:
         return read_silver(self.spark, self.run.silver, table)
 
     def _built(self, table: str) -> DataFrame:
-        run = self.run
-        return read_table(self.spark, run.staging(table) if table in CLUSTERED else run.path(table), run.fmt)
-
-    def _write(self, table: str, df: DataFrame) -> None:
-        run = self.run
+        """A stored gold table; its files are listed once, however many tables read it."""
+        if table not in self._open:
+            self._open[table] = read_table(self.spark, self.run.path(table), self.run.fmt)
+        return self._open[table]
+
+    def _write(self, table: str, df: DataFrame, bounds_from: DataFrame | None = None,
+               files: int | None = None) -> None:
+        """Write a table in its final layout: the clustering is part of the one write."""
         partitions = PARTITIONED.get(table, ())
         if table in CLUSTERED:
-            write_table(df, run.staging(table), run.fmt, partition_by=partitions, rebalance=bool(partitions))
-        else:
-            write_table(df, run.path(table), run.fmt)
-            self._register(table)
+            df = cluster(df, CLUSTERED[table], partitions, files, bounds_from=bounds_from)
+        write_table(df, self.run.path(table), self.run.fmt, partition_by=partitions)
+        self._open.pop(table, None)
+        self._register(table)
 
     def _register(self, table: str) -> None:
         if self.run.catalog:
@@ -97,15 +96,15 @@ class GoldBuilder:
 
         sales = self._silver("TRANS_VENTAS")
         hot = self._hot(sales, "id_miembro", run.path("dim_clientes"))
-        self._write("fact_ventas", model.fact_sales(sales, self._built("dim_clientes"), hot))
+        self._write("fact_ventas", model.fact_sales(sales, self._built("dim_clientes"), hot), bounds_from=sales)
 
         stock = self._silver("INV_STOCK_DIARIO")
         hot = self._hot(stock, "art_id", products_path)
-        self._write("fact_inventario", model.fact_inventory(stock, products, hot))
+        self._write("fact_inventario", model.fact_inventory(stock, products, hot), bounds_from=stock)
 
         returns = self._silver("POST_DEVOLUCIONES")
         sold = self._built("fact_ventas")
-        sold_path = run.staging("fact_ventas")
+        sold_path = run.path("fact_ventas")
         self._write("fact_devoluciones", model.fact_returns(
             returns, sold, products,
             hot_sales=self._hot(sold, "id_trans", sold_path),
@@ -114,10 +113,8 @@ class GoldBuilder:
 
     def segments(self) -> None:
         """Customer metrics are a stored table of their own: the tiles read it several times."""
-        metrics_path = self.run.staging("rfm_metrics")
-        write_table(rfm.rfm_metrics(self._built("fact_ventas"), self.run.as_of), metrics_path, self.run.fmt)
-        metrics = read_table(self.spark, metrics_path, self.run.fmt)
-        scores = rfm.rfm_scores(metrics, self.run.score_order, stored=True)
+        self._write("rfm_metrics", rfm.rfm_metrics(self._built("fact_ventas"), self.run.as_of))
+        scores = rfm.rfm_scores(self._built("rfm_metrics"), self.run.score_order, stored=True)
         self._write("fact_rfm_clientes", rfm.rfm_groups(rfm.rfm_segments(scores)))
 
     def marts(self) -> None:
@@ -131,15 +128,6 @@ class GoldBuilder:
         return gold_rules(self._built("fact_ventas"), self._built("fact_inventario"),
                           self._built("fact_rfm_clientes"))
 
-    def layout(self, files: int | None = None) -> None:
-        """Lay the clustered tables out into their final paths and drop the staging copies."""
-        for table, columns in CLUSTERED.items():
-            partitions = PARTITIONED.get(table, ())
-            ordered = cluster(self._built(table), columns, within=partitions, files=files)
-            write_table(ordered, self.run.path(table), self.run.fmt, partition_by=partitions)
-            self._register(table)
-        remove_path(self.spark, f"{self.run.root}/_staging")
-
 
 def gold_rules(sales: DataFrame, inventory: DataFrame, segments: DataFrame) -> DataFrame:
     """(test_name, passed) of the five gold rules; one aggregate per table and rule kind."""
@@ -161,9 +149,7 @@ def build_gold(spark: SparkSession, run: GoldRun) -> list:
     gold.facts()
     gold.segments()
     gold.marts()
-    results = gold.rules().collect()
-    gold.layout()
-    return results
+    return gold.rules().collect()
 
 
 def read_gold(spark: SparkSession, run: GoldRun, table: str, columns: Sequence[str] = ("*",)) -> DataFrame:

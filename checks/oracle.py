@@ -261,6 +261,7 @@ _SQL = {
     "cluster_zorder": "WITH " + FACT + " SELECT id_trans, canal_venta, art_id, id_tienda, CAST(net AS DOUBLE) / 10000 AS vr_venta_neto FROM fact",
     "catalog_roundtrip": "WITH " + RETURNS_FACT + " " + RETURNS_MART,
     "preview_rows": "WITH " + PRODUCT + f" SELECT {PRODUCT_COLUMNS} FROM product ORDER BY art_id LIMIT 10",
+    "raw_to_kpi": "WITH " + SILVER_FACT + " " + KPI.replace("{sales}", "fact"),
     "end_to_end_kpi": "WITH " + SILVER_FACT + " " + KPI.replace("{sales}", "fact"),
     "end_to_end_rfm": "WITH " + SILVER_FACT + "," + metrics("fact") + "," + SCORES + f" SELECT {SCORE_COLUMNS}, segmento_rfm, grupo_valor FROM groups_",
 }
