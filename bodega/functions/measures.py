@@ -72,7 +72,7 @@ def rate(part: Column, whole: Column) -> Column:
 
 def percent(part: Column, whole: Column) -> Column:
     """Like ``rate`` for counts: multiplies first, so halves stay exact."""
-    return F.when(whole > 0, F.round(part * 100 / whole, 2)).otherwise(F.lit(0.0))
+    return F.coalesce(F.round(F.try_divide(part * 100, whole), 2), F.lit(0.0))
 
 
 def rfm_label(r: Column, f: Column, m: Column) -> Column:

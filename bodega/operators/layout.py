@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -25,17 +26,23 @@ def _as_number(df: DataFrame, column: str) -> Column:
 
 
 def range_bounds(df: DataFrame, columns: Sequence[str], bits: int = BITS) -> dict[str, list]:
-    """At most 2^bits - 1 ascending bounds per column, from one pass over these columns."""
+    """The 2^bits - 1 inner quantiles per column, ascending, from one pass over these columns.
+
+    A frequent value is several quantiles at once.
+    """
     shares = [i / 2**bits for i in range(1, 2**bits)]
     row = df.agg(*[F.percentile_approx(_as_number(df, c), shares).alias(c) for c in columns]).first()
-    return {c: sorted(set(row[c] or [])) for c in columns}
+    return {c: list(row[c] or []) for c in columns}
 
 
 def range_bucket(value: Column, bounds: Sequence) -> Column:
-    """Number of bounds below the value; nulls in bucket 0."""
+    """Number of bounds below the value; nulls in bucket 0.
+
+    Repeated bounds count repeatedly, so few distinct values still spread over all bits.
+    """
     bucket = F.lit(0)
-    for bound in bounds:
-        bucket = bucket + F.coalesce((value > F.lit(bound)).cast("int"), F.lit(0))
+    for bound, times in Counter(bounds).items():
+        bucket = bucket + F.when(value > F.lit(bound), times).otherwise(0)
     return bucket
 
 

@@ -58,6 +58,8 @@ def dim_products(articles: DataFrame, suppliers: DataFrame, margin: str = "0.30"
 
 def one_per_key(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """One row per key, the smallest in column order: repeatable, so joins cannot fan out."""
+    if len(columns) == 1:
+        return df.groupBy(key).agg(F.min(columns[0]).alias(columns[0]))
     first = F.min(F.struct(*columns)).alias("_first")
     return df.groupBy(key).agg(first).select(key, "_first.*")
 

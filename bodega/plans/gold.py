@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from bodega.functions.measures import AsOf
 from bodega.operators import marts, model, rfm
@@ -51,6 +52,7 @@ class GoldBuilder:
 
     def __init__(self, spark: SparkSession, run: GoldRun):
         self.spark, self.run = spark, run
+        self._schemas: dict[str, StructType] = {}
         self._open: dict[str, DataFrame] = {}
 
     def _silver(self, table: str) -> DataFrame:
@@ -59,7 +61,8 @@ class GoldBuilder:
     def _built(self, table: str) -> DataFrame:
         """A stored gold table; its files are listed once, however many tables read it."""
         if table not in self._open:
-            self._open[table] = read_table(self.spark, self.run.path(table), self.run.fmt)
+            self._open[table] = read_table(
+                self.spark, self.run.path(table), self.run.fmt, self._schemas.get(table))
         return self._open[table]
 
     def _write(self, table: str, df: DataFrame, bounds_from: DataFrame | None = None,
@@ -69,12 +72,11 @@ class GoldBuilder:
         if table in CLUSTERED:
             df = cluster(df, CLUSTERED[table], partitions, files, bounds_from=bounds_from)
         write_table(df, self.run.path(table), self.run.fmt, partition_by=partitions)
+        self._schemas[table] = df.schema
         self._open.pop(table, None)
-        self._register(table)
-
-    def _register(self, table: str) -> None:
         if self.run.catalog:
-            register_table(self.spark, f"{self.run.catalog}.{table}", self.run.path(table), self.run.fmt)
+            register_table(self.spark, f"{self.run.catalog}.{table}", self.run.path(table), self.run.fmt,
+                           df.schema, partitions)
 
     def _hot(self, fact: DataFrame, key: str, lookup_path: str) -> list:
         """Hot keys of a fact if its lookup is too large to be broadcast, else none."""

@@ -76,7 +76,8 @@ def conform_table(spark: SparkSession, run: SilverRun, table: str) -> tuple[Data
     tagged = conform(bronze, spec, parent, keys, hot)
     write_table(tagged, run.tagged_path(table), run.fmt, partition_by=[REASON])
     if run.catalog:
-        register_table(spark, f"{run.catalog}.{spec.silver}", run.path(table), run.fmt)
+        register_table(spark, f"{run.catalog}.{spec.silver}", run.path(table), run.fmt,
+                       tagged.drop(REASON).schema)
     stored = read_table(spark, run.tagged_path(table), run.fmt, tagged.schema)
     original = bronze.count()
     return (quality_report(stored, table, original, run.bronze.batch_id),

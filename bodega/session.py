@@ -19,8 +19,6 @@ SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": "64m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # month=01 must come back as the text '01'
-    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
 _local_folders: dict[str, str] = {}

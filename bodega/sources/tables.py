@@ -46,13 +46,16 @@ def export_table(df: DataFrame, path: str, formats: Sequence[str] = ("csv", "par
     for fmt, folder in folders.items():
         writer = df.write.mode("overwrite").format(fmt)
         if fmt == "csv":
-            writer = writer.options(header="true", nullValue="", emptyValue='""', escape='"')
+            writer = writer.options(header="true", nullValue="", escape='"')
         writer.save(folder)
     return folders
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with header and an explicit schema: one pass, and codes keep their leading zeros."""
+    """CSV with header and an explicit schema: one pass, and codes keep their leading zeros.
+
+    Empty text and null are the same in the file; both are read as null.
+    """
     return spark.read.schema(schema).options(
         header="true", nullValue="", escape='"', mode="FAILFAST", enforceSchema="false").csv(path)
 
@@ -70,25 +73,24 @@ def stored_bytes(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
     )
 
 
-def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> None:
-    """Make the table at ``path`` known as ``schema.table`` in the session catalog."""
-    schema = name.rsplit(".", 1)[0]
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
-    known = spark.catalog.tableExists(name)
-    if known and _location(spark, name) != path.rstrip("/").removeprefix("file:"):
+def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet",
+                   schema: T.StructType | None = None, partition_by: Sequence[str] = ()) -> None:
+    """Make the table at ``path`` known as ``schema.table`` in the session catalog.
+
+    An entry that points elsewhere is replaced; partitions added since are picked up. With a
+    schema nothing is inferred from the files.
+    """
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name.rsplit('.', 1)[0]}")
+    if spark.catalog.tableExists(name) and _location(spark, name) != path.rstrip("/").removeprefix("file:"):
         spark.sql(f"DROP TABLE {name}")  # external: only the entry goes, the files stay
-        known = False
-    if not known:
-        spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION '{path}'")
-        if _partitioned(spark, name):
-            spark.sql(f"MSCK REPAIR TABLE {name}")
+    columns = f"({schema.toDDL()})" if schema else ""
+    partitions = f"PARTITIONED BY ({', '.join(partition_by)})" if schema and partition_by else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} {columns} USING {fmt} {partitions} LOCATION '{path}'")
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        spark.sql(f"MSCK REPAIR TABLE {name}")
     spark.catalog.refreshTable(name)
 
 
-def _partitioned(spark: SparkSession, name: str) -> bool:
-    return any(c.isPartition for c in spark.catalog.listColumns(name))
-
-
 def _location(spark: SparkSession, name: str) -> str:
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()
     return rows[0]["data_type"].removeprefix("file:").rstrip("/") if rows else ""
