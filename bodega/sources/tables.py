@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bodega.session import folder_bytes
+
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
                schema: T.StructType | None = None) -> DataFrame:
@@ -18,6 +20,22 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
     return reader.load(path)
 
 
+def spread(df: DataFrame, min_bytes: int = 4 << 20) -> DataFrame:
+    """Redistribute a stored table that has far fewer splits than the session has cores.
+
+    A file with one row group is one task however large the session; everything up to the next
+    shuffle would run in it. Tables with enough splits, or little data, are left alone. Filters
+    and column pruning still pass to the scan.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() * 2 > cores:
+        return df
+    if sum(folder_bytes(spark, path) for path in df.inputFiles()) < min_bytes:
+        return df
+    return df.repartition(cores)
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 partition_by: Sequence[str] = (), rebalance: bool = False, dynamic: bool = False) -> None:
     """Write a table, whole or partitioned.

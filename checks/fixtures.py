@@ -10,6 +10,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from bodega.sources.tables import spread
+
 VIEWS = {
     "trans_ventas": """
         SELECT l_orderkey*10+l_linenumber AS id_trans, o_custkey AS id_miembro,
@@ -86,7 +88,7 @@ def _inputs(name: str) -> list[str]:
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A view, or a given table, as a DataFrame."""
     if name not in VIEWS:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
     return spark.sql(VIEWS[name], **{i: view(spark, sf_dir, i) for i in _inputs(name)})
 
 
