@@ -80,7 +80,7 @@ def fk_valid(df: DataFrame, parent: DataFrame, key: str, how: str = "left_semi")
 
 
 def tag_rows(df: DataFrame, spec: TableSpec, parent: DataFrame | None = None,
-             hot_keys: Sequence = ()) -> DataFrame:
+             hot_keys: Sequence | None = None) -> DataFrame:
     """Add ``error_reason``: NONE for a valid row, else the first rule it breaks.
 
     One pass instead of one anti and one semi join: the row is joined to the distinct parent
@@ -91,7 +91,7 @@ def tag_rows(df: DataFrame, spec: TableSpec, parent: DataFrame | None = None,
         key = spec.foreign_key.key
         known = parent_keys(parent, key).withColumnRenamed(key, "_parent")
         columns = df.columns
-        if hot_keys:
+        if hot_keys is not None:
             df = skew_join(df, known, key, "_parent", hot_left=hot_keys)
         else:
             df = df.join(known, F.col(key) == F.col("_parent"), "left")
@@ -101,7 +101,7 @@ def tag_rows(df: DataFrame, spec: TableSpec, parent: DataFrame | None = None,
 
 
 def conform(df: DataFrame, spec: TableSpec, parent: DataFrame | None = None,
-            keys: Sequence[str] | None = None, hot_keys: Sequence = ()) -> DataFrame:
+            keys: Sequence[str] | None = None, hot_keys: Sequence | None = None) -> DataFrame:
     """All silver rules of one table; every input row leaves once, tagged valid or rejected.
 
     Personal data is hashed before rejects are told apart, so no reject keeps it in clear.

@@ -21,11 +21,11 @@ def _sales_measures(transactions: str) -> list[Column]:
     ]
 
 
-def daily_sales(sales: DataFrame, products: DataFrame, hot_articles: Sequence = ()) -> DataFrame:
+def daily_sales(sales: DataFrame, products: DataFrame, hot_articles: Sequence | None = None) -> DataFrame:
     """Net sales, mean ticket and transactions by date, channel, store and category."""
     category = one_per_key(products, "art_id", ["id_categ_n1"]).withColumnRenamed("art_id", "_art")
     sold = sales.select("fec_venta", "canal_venta", "id_tienda", "art_id", "id_trans", "vr_venta_neto")
-    if hot_articles:
+    if hot_articles is not None:
         joined = skew_join(sold, category, "art_id", "_art", hot_left=hot_articles)
     else:
         joined = sold.join(category, F.col("art_id") == F.col("_art"), "left")

@@ -64,15 +64,19 @@ def one_per_key(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     return df.groupBy(key).agg(first).select(key, "_first.*")
 
 
-def _lookup(fact: DataFrame, lookup: DataFrame, key: str, hot_keys: Sequence) -> DataFrame:
-    """Left join to a lookup with one row per key; hot and null keys salted if given."""
+def _lookup(fact: DataFrame, lookup: DataFrame, key: str, hot_keys: Sequence | None) -> DataFrame:
+    """Left join to a lookup with one row per key.
+
+    ``hot_keys`` None leaves the join to Spark; a list, even an empty one, salts these keys and
+    the null keys.
+    """
     lookup = lookup.withColumnRenamed(key, "_key")
-    if hot_keys:
+    if hot_keys is not None:
         return skew_join(fact, lookup, key, "_key", hot_left=hot_keys).drop("_key")
     return fact.join(lookup, F.col(key) == F.col("_key"), "left").drop("_key")
 
 
-def fact_sales(sales: DataFrame, customers: DataFrame, hot_keys: Sequence = ()) -> DataFrame:
+def fact_sales(sales: DataFrame, customers: DataFrame, hot_keys: Sequence | None = None) -> DataFrame:
     """Sales with validated customer, net value, discount flag and sale date.
 
     Joined to the distinct customer keys: a member stored twice does not double its sales.
@@ -88,7 +92,7 @@ def fact_sales(sales: DataFrame, customers: DataFrame, hot_keys: Sequence = ())
     })
 
 
-def fact_inventory(stock: DataFrame, products: DataFrame, hot_keys: Sequence = ()) -> DataFrame:
+def fact_inventory(stock: DataFrame, products: DataFrame, hot_keys: Sequence | None = None) -> DataFrame:
     """Stock snapshots with lead time, 14-day consumption, coverage, stock-out alert."""
     lead_time = one_per_key(products, "art_id", ["tiempo_repo_dias"])
     consumption, coverage = F.col("promedio_consumo_14dias"), F.col("cobertura_dias")
@@ -113,9 +117,9 @@ def fact_returns(
     sales: DataFrame,
     products: DataFrame,
     reasons: Mapping[str, str] | None = None,
-    hot_sales: Sequence = (),
-    hot_returns: Sequence = (),
-    hot_articles: Sequence = (),
+    hot_sales: Sequence | None = None,
+    hot_returns: Sequence | None = None,
+    hot_articles: Sequence | None = None,
 ) -> DataFrame:
     """Returns with the sale they refer to, category and supplier, reason text, return rate.
 
@@ -124,8 +128,8 @@ def fact_returns(
     """
     sold = sales.select(F.col("id_trans").alias("_sale"), "qty_vendida", "precio_unitario_venta")
     back = returns.select(*RETURN_COLUMNS)
-    if hot_sales or hot_returns:
-        joined = skew_join(back, sold, "id_trans_origen", "_sale", hot_returns, hot_sales)
+    if hot_sales is not None or hot_returns is not None:
+        joined = skew_join(back, sold, "id_trans_origen", "_sale", hot_returns or (), hot_sales or ())
     else:
         joined = back.join(sold, F.col("id_trans_origen") == F.col("_sale"), "left")
     category = one_per_key(products, "art_id", ["id_categ_n1", "id_proveedor"])

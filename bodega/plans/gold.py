@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.types import StructType
 
 from bodega.functions.measures import AsOf
@@ -20,6 +20,7 @@ from bodega.operators.quality import (
     rule_results,
 )
 from bodega.plans.silver import SilverRun, large, read_silver
+from bodega.session import folder_bytes, sized_shuffles
 from bodega.sources.tables import read_table, register_table, write_table
 
 # Tables with a clustered layout, and the columns their readers filter on.
@@ -65,70 +66,78 @@ class GoldBuilder:
                 self.spark, self.run.path(table), self.run.fmt, self._schemas.get(table))
         return self._open[table]
 
-    def _write(self, table: str, df: DataFrame, bounds_from: DataFrame | None = None,
-               files: int | None = None) -> None:
-        """Write a table in its final layout: the clustering is part of the one write."""
+    def _write(self, table: str, df: DataFrame, source: str, bounds_from: DataFrame | None = None) -> None:
+        """Write a table in its final layout: the clustering is part of the one write.
+
+        ``source`` is the path of the largest table read; its size sets the shuffles.
+        """
         partitions = PARTITIONED.get(table, ())
-        if table in CLUSTERED:
-            df = cluster(df, CLUSTERED[table], partitions, files, bounds_from=bounds_from)
-        write_table(df, self.run.path(table), self.run.fmt, partition_by=partitions)
+        with sized_shuffles(self.spark, folder_bytes(self.spark, source)):
+            if table in CLUSTERED:
+                df = cluster(df, CLUSTERED[table], partitions, bounds_from=bounds_from)
+            write_table(df, self.run.path(table), self.run.fmt, partition_by=partitions)
         self._schemas[table] = df.schema
         self._open.pop(table, None)
         if self.run.catalog:
             register_table(self.spark, f"{self.run.catalog}.{table}", self.run.path(table), self.run.fmt,
                            df.schema, partitions)
 
-    def _hot(self, fact: DataFrame, key: str, lookup_path: str) -> list:
-        """Hot keys of a fact if its lookup is too large to be broadcast, else none."""
+    def _hot(self, fact: DataFrame, key: str, lookup_path: str) -> list | None:
+        """Hot keys of a fact if its lookup is too large to be broadcast, else None."""
         run = self.run
         if not large(self.spark, lookup_path, run.broadcast_bytes):
-            return []
+            return None
         return heavy_keys(fact, key)
 
     def dimensions(self) -> None:
-        self._write("dim_clientes", model.dim_customers(self._silver("CRM_MIEMBROS"), self.run.as_of))
-        self._write("dim_tiendas", model.dim_stores(self._silver("MSTR_TIENDAS")))
+        path = self.run.silver.path
+        self._write("dim_clientes", model.dim_customers(self._silver("CRM_MIEMBROS"), self.run.as_of), path("CRM_MIEMBROS"))
+        self._write("dim_tiendas", model.dim_stores(self._silver("MSTR_TIENDAS")), path("MSTR_TIENDAS"))
         self._write("dim_productos", model.dim_products(
-            self._silver("MSTR_ARTICULOS"), self._silver("MSTR_PROVEEDORES")))
+            self._silver("MSTR_ARTICULOS"), self._silver("MSTR_PROVEEDORES")), path("MSTR_ARTICULOS"))
 
     def facts(self) -> None:
-        run = self.run
-        products_path = run.path("dim_productos")
-        products = self._built("dim_productos")
+        run, silver_path = self.run, self.run.silver.path
+        products, products_path = self._built("dim_productos"), run.path("dim_productos")
 
         sales = self._silver("TRANS_VENTAS")
         hot = self._hot(sales, "id_miembro", run.path("dim_clientes"))
-        self._write("fact_ventas", model.fact_sales(sales, self._built("dim_clientes"), hot), bounds_from=sales)
+        fact = model.fact_sales(sales, self._built("dim_clientes"), hot)
+        self._write("fact_ventas", fact, silver_path("TRANS_VENTAS"), bounds_from=sales)
 
         stock = self._silver("INV_STOCK_DIARIO")
         hot = self._hot(stock, "art_id", products_path)
-        self._write("fact_inventario", model.fact_inventory(stock, products, hot), bounds_from=stock)
+        fact = model.fact_inventory(stock, products, hot)
+        self._write("fact_inventario", fact, silver_path("INV_STOCK_DIARIO"), bounds_from=stock)
 
         returns = self._silver("POST_DEVOLUCIONES")
-        sold = self._built("fact_ventas")
-        sold_path = run.path("fact_ventas")
-        self._write("fact_devoluciones", model.fact_returns(
+        sold, sold_path = self._built("fact_ventas"), run.path("fact_ventas")
+        fact = model.fact_returns(
             returns, sold, products,
             hot_sales=self._hot(sold, "id_trans", sold_path),
             hot_returns=self._hot(returns, "id_trans_origen", sold_path),
-            hot_articles=self._hot(returns, "art_id", products_path)))
+            hot_articles=self._hot(returns, "art_id", products_path))
+        self._write("fact_devoluciones", fact, sold_path)
 
     def segments(self) -> None:
         """Customer metrics are a stored table of their own: the tiles read it several times."""
-        self._write("rfm_metrics", rfm.rfm_metrics(self._built("fact_ventas"), self.run.as_of))
+        self._write("rfm_metrics", rfm.rfm_metrics(self._built("fact_ventas"), self.run.as_of),
+                    self.run.path("fact_ventas"))
         scores = rfm.rfm_scores(self._built("rfm_metrics"), self.run.score_order, stored=True)
-        self._write("fact_rfm_clientes", rfm.rfm_groups(rfm.rfm_segments(scores)))
+        self._write("fact_rfm_clientes", rfm.rfm_groups(rfm.rfm_segments(scores)), self.run.path("rfm_metrics"))
 
     def marts(self) -> None:
         sales, products = self._built("fact_ventas"), self._built("dim_productos")
+        path, returns_path = self.run.path("fact_ventas"), self.run.path("fact_devoluciones")
         hot = self._hot(sales, "art_id", self.run.path("dim_productos"))
-        self._write("agg_ventas_diarias", marts.daily_sales(sales, products, hot))
-        self._write("agg_devoluciones_categoria", marts.returns_by_category(self._built("fact_devoluciones")))
-        self._write("kpi_ejecutivo_diario", marts.executive_kpis(sales))
+        self._write("agg_ventas_diarias", marts.daily_sales(sales, products, hot), path)
+        self._write("agg_devoluciones_categoria", marts.returns_by_category(self._built("fact_devoluciones")), returns_path)
+        self._write("kpi_ejecutivo_diario", marts.executive_kpis(sales), path)
 
-    def rules(self) -> DataFrame:
-        return gold_rules(self._built("fact_ventas"), self._built("fact_inventario"),
-                          self._built("fact_rfm_clientes"))
+    def rules(self) -> list[Row]:
+        with sized_shuffles(self.spark, folder_bytes(self.spark, self.run.path("fact_ventas"))):
+            return gold_rules(self._built("fact_ventas"), self._built("fact_inventario"),
+                              self._built("fact_rfm_clientes")).collect()
 
 
 def gold_rules(sales: DataFrame, inventory: DataFrame, segments: DataFrame) -> DataFrame:
@@ -144,14 +153,14 @@ def gold_rules(sales: DataFrame, inventory: DataFrame, segments: DataFrame) -> D
     )
 
 
-def build_gold(spark: SparkSession, run: GoldRun) -> list:
+def build_gold(spark: SparkSession, run: GoldRun) -> list[Row]:
     """All gold tables in order; returns the five rule results as rows."""
     gold = GoldBuilder(spark, run)
     gold.dimensions()
     gold.facts()
     gold.segments()
     gold.marts()
-    return gold.rules().collect()
+    return gold.rules()
 
 
 def read_gold(spark: SparkSession, run: GoldRun, table: str, columns: Sequence[str] = ("*",)) -> DataFrame:

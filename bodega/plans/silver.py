@@ -13,7 +13,7 @@ from bodega.operators.joins import heavy_keys
 from bodega.operators.quality import quality_report, run_summary
 from bodega.plans.bronze import BronzeRun, read_bronze, read_watermarks
 from bodega.schemas import TABLES, TableSpec
-from bodega.session import folder_bytes
+from bodega.session import folder_bytes, sized_shuffles
 from bodega.sources.tables import read_table, register_table, write_table
 
 
@@ -53,10 +53,10 @@ def large(spark: SparkSession, path: str, limit: int) -> bool:
     return folder_bytes(spark, path) > limit
 
 
-def _hot_parents(spark: SparkSession, run: SilverRun, bronze: DataFrame, spec: TableSpec) -> list:
+def _hot_parents(spark: SparkSession, run: SilverRun, bronze: DataFrame, spec: TableSpec) -> list | None:
     parent = spec.foreign_key.parent
     if not large(spark, run.path(parent), run.broadcast_bytes):
-        return []  # the parent keys are broadcast, no shuffle to be skewed
+        return None  # the parent keys are broadcast, no shuffle to be skewed
     return heavy_keys(bronze, spec.foreign_key.key)
 
 
@@ -68,13 +68,14 @@ def conform_table(spark: SparkSession, run: SilverRun, table: str) -> tuple[Data
     """
     spec = TABLES[table]
     bronze = committed_rows(read_bronze(spark, run.bronze, table), read_watermarks(spark, run.bronze), table)
-    parent, hot = None, []
+    parent, hot = None, None
     if spec.foreign_key:
         parent = read_silver(spark, run, spec.foreign_key.parent)
         hot = _hot_parents(spark, run, bronze, spec)
     keys = [spec.key] if run.newest_per_key else None
     tagged = conform(bronze, spec, parent, keys, hot)
-    write_table(tagged, run.tagged_path(table), run.fmt, partition_by=[REASON])
+    with sized_shuffles(spark, folder_bytes(spark, run.bronze.table_path(table))):
+        write_table(tagged, run.tagged_path(table), run.fmt, partition_by=[REASON])
     if run.catalog:
         register_table(spark, f"{run.catalog}.{spec.silver}", run.path(table), run.fmt,
                        tagged.drop(REASON).schema)

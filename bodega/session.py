@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,6 +23,9 @@ SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+# Stored bytes per shuffle partition; adaptive execution merges partitions that turn out small.
+SHUFFLE_BYTES = 128 << 20
+
 _local_folders: dict[str, str] = {}
 
 
@@ -70,6 +75,21 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def sized_shuffles(spark: SparkSession, input_bytes: int):
+    """Enough shuffle partitions for a step over ``input_bytes``; the setting is put back after.
+
+    The session's own number is the minimum.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(max(int(before), math.ceil(input_bytes / SHUFFLE_BYTES))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

@@ -181,7 +181,7 @@ _SQL = {
         f"'RETAIL_SOURCE' AS source_system, CASE WHEN v.fec_trans <= {SPLIT} THEN 'batch-1' ELSE 'batch-2' END AS batch_id, "
         f"'2001' AS year, '08' AS month, CASE WHEN v.fec_trans <= {SPLIT} THEN '01' ELSE '02' END AS day FROM {{trans_ventas}} v"),
     "ingest_log": f"SELECT table_name, record_count, 'batch-1' AS batch_id, 'SUCCESS' AS status, CAST(NULL AS VARCHAR) AS error_message FROM ({LOADED}) t",
-    "ingest_all_isolated": (
+    "ingest_all": (
         "SELECT table_name, CASE WHEN table_name = 'MSTR_TIENDAS' THEN 0 ELSE record_count END AS record_count, "
         f"CASE WHEN table_name = 'MSTR_TIENDAS' THEN 'FAILED' ELSE 'SUCCESS' END AS status FROM ({LOADED}) t"),
     "export_roundtrip": f"SELECT {ARTICLES}, f.fmt FROM {{mstr_articulos}} JOIN (VALUES ('csv'), ('parquet')) f(fmt) ON true",

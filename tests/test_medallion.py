@@ -7,11 +7,12 @@ import pytest
 from bodega.operators import conform as C
 from bodega.plans.bronze import BronzeRun
 from bodega.plans.full_run import StageFailed, run_medallion
-from bodega.plans.gold import CLUSTERED, read_gold
+from bodega.plans.gold import CLUSTERED, GoldBuilder, GoldRun, read_gold
 from bodega.plans.silver import SilverRun, read_rejects, read_silver
 from bodega.schemas import NULL_REASON, TABLES
 from bodega.sources.origins import FrameSource
 from checks.fixtures import view
+from tests.conftest import rows
 
 AS_OF = "2001-08-01"
 
@@ -62,6 +63,13 @@ def test_two_runs(spark, sf_dir, tmp_path):
     for name in (*CLUSTERED, "dim_clientes", "dim_tiendas", "dim_productos", "fact_devoluciones", "agg_devoluciones_categoria"):
         assert spark.table(f"twice_gold.{name}").count() == read_gold(spark, second.gold, name).count() > 0
     assert spark.table("twice_silver.dim_clientes").count() > 0
+    # with no table small enough to broadcast, the salted joins give the same gold tables
+    salted = GoldRun(f"{tmp_path}/gold-salted", silver, AS_OF, broadcast_bytes=0)
+    builder = GoldBuilder(spark, salted)
+    for step in (builder.dimensions, builder.facts, builder.marts):
+        step()
+    for name in ("fact_inventario", "fact_devoluciones", "agg_ventas_diarias", "kpi_ejecutivo_diario"):
+        assert rows(read_gold(spark, salted, name)) == rows(read_gold(spark, second.gold, name)), name
     reports = spark.read.parquet(silver.quality_path)
     assert {r[0] for r in reports.select("batch_id").distinct().collect()} == {"b1", "b2"}
 

@@ -72,5 +72,5 @@ def test_builder_lists_a_table_once(spark, tmp_path):
     from bodega.plans.gold import GoldRun
     from bodega.plans.silver import SilverRun
     builder = GoldBuilder(spark, GoldRun(str(tmp_path), SilverRun(str(tmp_path), BronzeRun(str(tmp_path)))))
-    builder._write("dim_tiendas", spark.range(3))
+    builder._write("dim_tiendas", spark.range(3), str(tmp_path))
     assert builder._built("dim_tiendas") is builder._built("dim_tiendas")

@@ -7,7 +7,7 @@ import pytest
 
 from bodega.plans.bronze import BronzeRun
 from bodega.schemas import TABLES
-from bodega.session import folder_bytes, materialize, path_exists, remove_path, shared_folder
+from bodega.session import folder_bytes, materialize, path_exists, remove_path, shared_folder, sized_shuffles
 from bodega.sources import origins, tables
 from checks.fixtures import view
 from tests.conftest import rows
@@ -82,6 +82,24 @@ def test_cluster_without_shared_folder_is_refused():
         shared_folder(cluster)
 
 
+def test_shuffles_follow_the_input(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with sized_shuffles(spark, 1 << 40):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "8192"
+    with sized_shuffles(spark, 1):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_spread_only_under_split_tables(spark, tmp_path):
+    spark.range(1_000_000).selectExpr("id", "hash(id) AS h").coalesce(1).write.parquet(str(tmp_path / "one"))
+    one = spark.read.parquet(str(tmp_path / "one"))
+    assert tables.spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert tables.spread(one, min_bytes=1 << 40) is one
+    many = spark.range(1000)
+    assert tables.spread(many) is many
+
+
 def test_run_paths():
     run = BronzeRun("s3a://lake/bronze")
     assert run.table_path("TRANS_VENTAS") == "s3a://lake/bronze/trans_ventas"
