@@ -11,6 +11,7 @@ of the count.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,58 +40,73 @@ def ntile_window(df: DataFrame, orders: dict[str, TileOrder], key: str, k: int)
         {name: F.ntile(k).over(Window.orderBy(o.sort(), F.asc(key))) for name, o in orders.items()})
 
 
-def _intervals(df: DataFrame, column: str, ranks: list[int], n: int, slack: float) -> list[tuple]:
-    """Disjoint ascending value intervals that should hold the given ranks."""
-    shares = [s for r in ranks for s in (max(0.0, (r - 1) / n - slack), min(1.0, r / n + slack))]
-    found = df.agg(F.percentile_approx(column, shares, ACCURACY)).first()[0]
-    merged: list[tuple] = []
-    for low, high in sorted(zip(found[::2], found[1::2])):
-        if merged and low <= merged[-1][1]:
-            merged[-1] = (merged[-1][0], max(high, merged[-1][1]))
-        else:
-            merged.append((low, high))
-    return merged
+Ranks = dict[int, list[int]]  # group -> wanted ranks, counted from 1
+
+
+def _intervals(df: DataFrame, ranks: Ranks, sizes: dict[int, int], slack: float) -> dict[int, list[tuple]]:
+    """Per group, disjoint ascending value intervals that should hold the wanted ranks."""
+    sketches = []
+    for group, wanted in ranks.items():
+        n = sizes[group]
+        shares = [s for r in wanted for s in (max(0.0, (r - 1) / n - slack), min(1.0, r / n + slack))]
+        member = F.when(F.col("_group") == group, F.col("_value"))
+        sketches.append(F.percentile_approx(member, shares, ACCURACY).alias(str(group)))
+    row = df.agg(*sketches).first()
+    result = {}
+    for group in ranks:
+        merged: list[tuple] = []
+        for low, high in sorted(zip(row[str(group)][::2], row[str(group)][1::2])):
+            if merged and low <= merged[-1][1]:
+                merged[-1] = (merged[-1][0], max(high, merged[-1][1]))
+            else:
+                merged.append((low, high))
+        result[group] = merged
+    return result
+
 
+def _segment(value: Column, intervals: list[tuple]) -> Column:
+    """Odd numbers lie inside an interval, even ones between intervals."""
+    rules = [rule for i, (low, high) in enumerate(intervals)
+             for rule in ((value < low, 2 * i), (value <= high, 2 * i + 1))]
+    return first_match(rules, 2 * len(intervals))
 
-def values_at_ranks(df: DataFrame, column: str, ranks: list[int], n: int) -> dict[int, tuple]:
-    """rank -> (value, rows before it, rows equal to it), ascending; no nulls in ``column``.
 
-    The quantiles may be off (they are computed in double): a rank outside its interval is
-    noticed by the counts and searched again with a wider interval, so the result is exact.
-    Both aggregates run in parallel; only a histogram of about n/2500 rows is ordered.
+def values_at_ranks(df: DataFrame, ranks: Ranks, sizes: dict[int, int]) -> dict[tuple[int, int], tuple]:
+    """(group, rank) -> (value, rows before it, rows equal to it) for rows (_group, _value).
+
+    Values are not null and ascending within their group. The quantiles may be off (they are
+    computed in double): a rank outside its interval is noticed by the counts and searched again
+    with a wider interval, so the result is exact. Both aggregates run in parallel; only a histogram
+    of about n/2500 rows is ordered.
     """
-    result: dict[int, tuple] = {}
+    result: dict[tuple[int, int], tuple] = {}
+    value, group = F.col("_value"), F.col("_group")
     slack = 2 / ACCURACY
-    value = F.col(column)
-    pending = sorted(set(ranks))
+    pending = {g: sorted(set(wanted)) for g, wanted in ranks.items() if wanted}
     while pending:
+        open_rows = df.where(group.isin(list(pending)))
         if slack < 1:
-            parts = _intervals(df, column, pending, n, slack)
-            # odd segments lie inside an interval, even ones between intervals
-            segment = first_match(
-                [rule for i, (low, high) in enumerate(parts)
-                 for rule in ((value < low, 2 * i), (value <= high, 2 * i + 1))],
-                2 * len(parts))
+            parts = _intervals(open_rows, pending, sizes, slack)
+            segment = first_match([(group == g, _segment(value, parts[g])) for g in pending], 0)
         else:
             segment = F.lit(1)
         inside = F.col("_segment") % 2 == 1
         histogram = (
-            df.select(value.alias("_value"), segment.alias("_segment"))
-            .groupBy("_segment", F.when(inside, F.col("_value")).alias("_value"))
+            open_rows.select("_group", "_value", segment.alias("_segment"))
+            .groupBy("_group", "_segment", F.when(inside, value).alias("_value"))
             .agg(F.count("*").alias("_rows"))
         )
-        running = F.sum("_rows").over(Window.orderBy("_segment", "_value"))
-        wanted = [(F.col("_to") >= r) & (F.col("_to") - F.col("_rows") < r) for r in pending]
-        any_wanted = wanted[0]
-        for condition in wanted[1:]:
-            any_wanted = any_wanted | condition
-        hits = histogram.withColumn("_to", running).where(inside & any_wanted).collect()
-        for hit in hits:
-            before = hit["_to"] - hit["_rows"]
-            for r in pending:
-                if before < r <= hit["_to"]:
-                    result[r] = (hit["_value"], before, hit["_rows"])
-        pending = [r for r in pending if r not in result]
+        running = F.sum("_rows").over(Window.partitionBy("_group").orderBy("_segment", "_value"))
+        until, since = F.col("_to"), F.col("_to") - F.col("_rows")
+        hit = reduce(lambda a, b: a | b, [
+            (group == g) & (until >= r) & (since < r) for g, wanted in pending.items() for r in wanted])
+        for row in histogram.withColumn("_to", running).where(inside & hit).collect():
+            before = row["_to"] - row["_rows"]
+            for r in pending[row["_group"]]:
+                if before < r <= row["_to"]:
+                    result[row["_group"], r] = (row["_value"], before, row["_rows"])
+        pending = {g: [r for r in wanted if (g, r) not in result] for g, wanted in pending.items()}
+        pending = {g: wanted for g, wanted in pending.items() if wanted}
         slack *= 50
     return result
 
@@ -106,32 +122,35 @@ class _End:
 def _tile_ends(df: DataFrame, order: TileOrder, key: str, ranks: list[int], n: int, nulls: int) -> list[_End]:
     filled = n - nulls
     leading_nulls = 0 if order.descending else nulls
+    value = F.col(order.column)
     ranked = {}  # rank in the given order -> ascending rank among the non-null values
     for r in ranks:
         position = r - leading_nulls
         if 1 <= position <= filled:
             ranked[r] = filled - position + 1 if order.descending else position
-    present = df.where(F.col(order.column).isNotNull())
-    values = values_at_ranks(present, order.column, list(ranked.values()), filled) if ranked else {}
+    present = df.where(value.isNotNull()).select(F.lit(0).alias("_group"), value.alias("_value"))
+    found = values_at_ranks(present, {0: list(ranked.values())}, {0: filled})
 
-    within: dict[object, dict[int, int]] = {}  # value -> rank -> position among its ties
     ends: dict[int, _End] = {}
+    ties: dict[object, tuple[int, int]] = {}  # value -> (its group below, rows holding it)
+    within: Ranks = {}  # group -> positions among the rows of one value, ordered by key
     for r in ranks:
         if r in ranked:
-            value, before, same = values[ranked[r]]
+            bound, before, same = found[0, ranked[r]]
             earlier = leading_nulls + (filled - before - same if order.descending else before)
         else:
-            value, same = None, nulls
+            bound, same = None, nulls
             earlier = filled if order.descending else 0
-        if r - earlier == same:
-            ends[r] = _End(value, None)
-        else:
-            within.setdefault((value, same), {})[r] = r - earlier
-    for (value, same), positions in within.items():
-        ties = df.where(F.col(order.column).isNull() if value is None else F.col(order.column) == F.lit(value))
-        keys = values_at_ranks(ties.select(key), key, list(positions.values()), same)
-        for r, position in positions.items():
-            ends[r] = _End(value, keys[position][0])
+        ends[r] = _End(bound, None)
+        if r - earlier < same:
+            group, _ = ties.setdefault(bound, (len(ties), same))
+            within.setdefault(group, []).append(r - earlier)
+            ends[r] = _End(bound, (group, r - earlier))
+    if ties:
+        match = [(value.isNull() if bound is None else value == F.lit(bound), group) for bound, (group, _) in ties.items()]
+        tied = df.select(first_match(match, None).alias("_group"), F.col(key).alias("_value")).where("_group IS NOT NULL")
+        keys = values_at_ranks(tied, within, dict(ties.values()))
+        ends = {r: end if end.key is None else _End(end.value, keys[end.key][0]) for r, end in ends.items()}
     return [ends[r] for r in ranks]
 
 

@@ -57,13 +57,14 @@ def test_wrong_interval_is_noticed(spark, monkeypatch):
     """Exact even where the approximate quantiles are far off."""
     calls = []
 
-    def misleading(df, column, ranks, n, slack):
+    def misleading(df, ranks, sizes, slack):
         calls.append(slack)
-        return [(990, 995)]
+        return {0: [(990, 995)]}
 
     monkeypatch.setattr(tiles, "_intervals", misleading)
-    df = spark.range(1000).selectExpr("id AS v")
-    assert values_at_ranks(df, "v", [1, 500, 993], 1000) == {1: (0, 0, 1), 500: (499, 499, 1), 993: (992, 992, 1)}
+    df = spark.range(1000).selectExpr("0 AS _group", "id AS _value")
+    assert values_at_ranks(df, {0: [1, 500, 993]}, {0: 1000}) == {
+        (0, 1): (0, 0, 1), (0, 500): (499, 499, 1), (0, 993): (992, 992, 1)}
     assert len(calls) >= 1
 
 
