@@ -42,7 +42,7 @@ class GoldRun:
     fmt: str = "parquet"
     catalog: str | None = None
     score_order: str = "reference"
-    broadcast_bytes: int = 64 << 20
+    broadcast_bytes: int | None = None  # None: the session's threshold
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"

@@ -13,7 +13,7 @@ from bodega.operators.joins import heavy_keys
 from bodega.operators.quality import quality_report, run_summary
 from bodega.plans.bronze import BronzeRun, read_bronze, read_watermarks
 from bodega.schemas import TABLES, TableSpec
-from bodega.session import folder_bytes, sized_shuffles
+from bodega.session import broadcast_limit, folder_bytes, sized_shuffles
 from bodega.sources.tables import read_table, register_table, write_table
 
 
@@ -25,7 +25,7 @@ class SilverRun:
     bronze: BronzeRun
     fmt: str = "parquet"
     newest_per_key: bool = False
-    broadcast_bytes: int = 64 << 20
+    broadcast_bytes: int | None = None  # None: the session's threshold
     catalog: str | None = None
 
     def tagged_path(self, table: str) -> str:
@@ -48,9 +48,9 @@ def read_rejects(spark: SparkSession, run: SilverRun, table: str) -> DataFrame:
     return rejected(read_table(spark, run.tagged_path(table), run.fmt))
 
 
-def large(spark: SparkSession, path: str, limit: int) -> bool:
+def large(spark: SparkSession, path: str, limit: int | None = None) -> bool:
     """Whether a stored table is beyond the broadcast limit, by the size of its files."""
-    return folder_bytes(spark, path) > limit
+    return folder_bytes(spark, path) > (broadcast_limit(spark) if limit is None else limit)
 
 
 def _hot_parents(spark: SparkSession, run: SilverRun, bronze: DataFrame, spec: TableSpec) -> list | None:

@@ -90,6 +90,11 @@ def sized_shuffles(spark: SparkSession, input_bytes: int):
         spark.conf.set(name, before)
 
 
+def broadcast_limit(spark: SparkSession) -> int:
+    """The session's size threshold for broadcasts in bytes; -1 when they are off."""
+    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

@@ -11,11 +11,15 @@ from pyspark.sql import types as T
 from bodega.session import folder_bytes
 
 
+# Formats that keep schema and partitions in a log of their own: nothing to declare or repair.
+SELF_DESCRIBED = ("delta", "iceberg", "hudi")
+
+
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
                schema: T.StructType | None = None) -> DataFrame:
     """Read a table by path; a schema keeps partition values such as month=01 as text."""
     reader = spark.read.format(fmt)
-    if schema is not None:
+    if schema is not None and fmt not in SELF_DESCRIBED:
         reader = reader.schema(schema)
     return reader.load(path)
 
@@ -101,10 +105,11 @@ def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parque
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name.rsplit('.', 1)[0]}")
     if spark.catalog.tableExists(name) and _location(spark, name) != path.rstrip("/").removeprefix("file:"):
         spark.sql(f"DROP TABLE {name}")  # external: only the entry goes, the files stay
-    columns = f"({schema.toDDL()})" if schema else ""
-    partitions = f"PARTITIONED BY ({', '.join(partition_by)})" if schema and partition_by else ""
+    declared = schema is not None and fmt not in SELF_DESCRIBED
+    columns = f"({schema.toDDL()})" if declared else ""
+    partitions = f"PARTITIONED BY ({', '.join(partition_by)})" if declared and partition_by else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} {columns} USING {fmt} {partitions} LOCATION '{path}'")
-    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+    if fmt not in SELF_DESCRIBED and any(c.isPartition for c in spark.catalog.listColumns(name)):
         spark.sql(f"MSCK REPAIR TABLE {name}")
     spark.catalog.refreshTable(name)
 

@@ -7,7 +7,7 @@ import pytest
 
 from bodega.plans.bronze import BronzeRun
 from bodega.schemas import TABLES
-from bodega.session import folder_bytes, materialize, path_exists, remove_path, shared_folder, sized_shuffles
+from bodega.session import broadcast_limit, folder_bytes, materialize, path_exists, remove_path, shared_folder, sized_shuffles
 from bodega.sources import origins, tables
 from checks.fixtures import view
 from tests.conftest import rows
@@ -91,6 +91,10 @@ def test_shuffles_follow_the_input(spark):
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
 
 
+def test_broadcast_limit_is_the_sessions(spark):
+    assert broadcast_limit(spark) == 64 << 20
+
+
 def test_spread_only_under_split_tables(spark, tmp_path):
     spark.range(1_000_000).selectExpr("id", "hash(id) AS h").coalesce(1).write.parquet(str(tmp_path / "one"))
     one = spark.read.parquet(str(tmp_path / "one"))
