@@ -37,8 +37,9 @@ def flag(condition: Column) -> Column:
 
 def first_match(rules: Iterable[tuple[Column, object]], default: object) -> Column:
     """Value of the first condition that holds, else the default."""
-    chain = F
-    for condition, value in rules:
+    (condition, value), *rest = rules
+    chain = F.when(condition, value)
+    for condition, value in rest:
         chain = chain.when(condition, value)
     return chain.otherwise(default)
 
