@@ -6,8 +6,18 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from bodega.llm import host_rules, pieces
+from bodega.llm import (
+    host_rules,
+    language_id,
+    main_text,
+    packing,
+    permutation_index,
+    pieces,
+    quality_score,
+    url_filter,
+)
 from bodega.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +30,11 @@ def tokenizer(name: str) -> str:
     return f"{TOKENIZERS}/{name}"
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language and score of every document."""
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every text, their digests, and the bytes of text their spans cover."""
     return pieces.digest_table(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
@@ -30,9 +45,41 @@ def op4_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.host_rules(table(spark, sf_dir, "documents")).drop("host_rate")
 
 
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return main_text.main_text(table(spark, sf_dir, "pages"))
+
+
+def op7_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every vector whose id is divisible by 20."""
+    return permutation_index.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document and its place in the packed sequences."""
+    return packing.pack_documents(
+        table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("byte_bpe_50k.tiktoken"))
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of every page's url."""
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), url_filter.rule_table(spark))
+
+
+def op10_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality_score.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_language_id": op1_language_id,
     "op3_pieces": op3_pieces,
     "op4_host_rules": op4_host_rules,
+    "op6_main_text": op6_main_text,
+    "op7_permutation_index": op7_permutation_index,
+    "op8_packing": op8_packing,
+    "op9_url_filter": op9_url_filter,
+    "op10_quality_score": op10_quality_score,
 }
 
 ORACLE: dict[str, str] = {
@@ -73,5 +120,21 @@ verdicts AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND NOT coalesce(bad, false) AS kept
 FROM judged LEFT JOIN verdicts USING (source)
+""",
+    "op9_url_filter": r"""
+WITH urls AS (
+  SELECT page_id, coalesce(substr(url, nullif(instr(url, '://'), 0) + 3), '') AS rest FROM pages),
+parts AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM urls),
+rules(host, path, verdict) AS (
+  VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+         ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+best AS (
+  SELECT p.page_id, p.host, p.path, r.host || r.path AS rule, r.verdict
+  FROM parts p LEFT JOIN rules r
+    ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path))
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM best
+QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC NULLS LAST) = 1
 """,
 }
