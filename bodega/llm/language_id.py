@@ -23,7 +23,7 @@ SAMPLE_A_LANGUAGE = 1000  # documents a language that the weights and the temper
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-3, 1e-4
 EPOCHS = 3
 UNKNOWN = "und"
-MIN_SCORE = 0.5
+MIN_SCORE = 0.3
 
 _SPACE = np.uint32(32)
 _letters = np.zeros(0, dtype=bool)
