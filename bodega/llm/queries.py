@@ -15,6 +15,7 @@ from bodega.llm import (
     packing,
     permutation_index,
     pieces,
+    prob_minhash,
     quality_score,
     url_filter,
 )
@@ -45,6 +46,11 @@ def op4_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.host_rules(table(spark, sf_dir, "documents")).drop("host_rate")
 
 
+def op5_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document."""
+    return prob_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return main_text.main_text(table(spark, sf_dir, "pages"))
@@ -75,6 +81,7 @@ QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op3_pieces": op3_pieces,
     "op4_host_rules": op4_host_rules,
+    "op5_prob_minhash": op5_prob_minhash,
     "op6_main_text": op6_main_text,
     "op7_permutation_index": op7_permutation_index,
     "op8_packing": op8_packing,
