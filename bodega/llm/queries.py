@@ -13,6 +13,7 @@ from bodega.llm import (
     language_id,
     main_text,
     packing,
+    passages,
     permutation_index,
     pieces,
     prob_minhash,
@@ -36,6 +37,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op2_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every passage that a document repeats from another."""
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every text, their digests, and the bytes of text their spans cover."""
     return pieces.digest_table(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
@@ -79,6 +85,7 @@ def op10_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
+    "op2_passages": op2_passages,
     "op3_pieces": op3_pieces,
     "op4_host_rules": op4_host_rules,
     "op5_prob_minhash": op5_prob_minhash,
