@@ -171,6 +171,13 @@ def side(block: Block) -> int:
     return int(block.tag in GOOD_TAGS or bool(block.names & GOOD_WORDS))
 
 
+def edge(blocks: list[Block], i: int) -> int:
+    """Kind of the tie between block ``i`` and its parent: the block's own side, -2 for a block without
+    one in a parent that says it is something else."""
+    own = side(blocks[i])
+    return own if own or side(blocks[blocks[i].parent]) >= 0 else -2
+
+
 def observations(blocks: list[Block]) -> list[tuple[str, ...]]:
     """What the potentials see of each block."""
     out = []
@@ -200,14 +207,14 @@ def own_labels(blocks: list[Block]) -> list[int] | None:
 
 @dataclass
 class Potentials:
-    """Log odds of content by observation, and log potentials of (parent, child) labels by child's side."""
+    """Log odds of content by observation, and log potentials of (parent, child) labels by kind of edge."""
     unary: dict[str, float]
     pair: dict[tuple[int, int, int], float]
     prior: float = 0.0
 
     @classmethod
     def learn(cls, counts: dict[str, float]) -> Potentials:
-        """From counts named ``observation|label`` and ``pair side parent child``; smoothed.
+        """From counts named ``observation|label`` and ``pair edge parent child``; smoothed.
 
         Elements and names that tell their side count as seen ten times each, so that sides which
         the labelled pages lack are known too.
@@ -225,9 +232,10 @@ class Potentials:
         total = [max(n, 1.0) for n in total]
         unary = {k: math.log((counts[f"{k}|1"] + 0.5) / (total[1] + 1)) - math.log((counts[f"{k}|0"] + 0.5) / (total[0] + 1)) for k in names}
         pair = {}
-        for s in (-1, 0, 1):
+        for s in (-2, -1, 0, 1):
             for parent in (0, 1):
-                n = [counts[f"pair {s} {parent} {child}"] + (5 if (s < 0) == (child == 0) and s else 1) for child in (0, 1)]
+                likely = 1 if s > 0 else 0 if s else parent  # what the edge says, counted as seen before
+                n = [counts[f"pair {s} {parent} {child}"] + (500 if child == likely else 1) for child in (0, 1)]
                 for child in (0, 1):
                     pair[s, parent, child] = math.log(n[child] / sum(n))
         return cls(unary, pair)
@@ -235,12 +243,12 @@ class Potentials:
     def marginals(self, blocks: list[Block]) -> list[float]:
         """Probability of content of each block, by messages up the tree and down again."""
         n = len(blocks)
-        seen, sides = observations(blocks), [side(b) for b in blocks]
+        seen, edges = observations(blocks), [edge(blocks, i) if i else 0 for i in range(n)]
         # log potentials of the two labels; observations are counted at half weight, for they overlap
         own = [[0.0, 0.5 * sum(self.unary.get(o, 0.0) for o in row)] for row in seen]
         up, gathered = [[0.0, 0.0] for _ in range(n)], [list(x) for x in own]
         for i in range(n - 1, 0, -1):
-            g, s = gathered[i], sides[i]
+            g, s = gathered[i], edges[i]
             up[i] = [_add(g[0] + self.pair[s, y, 0], g[1] + self.pair[s, y, 1]) for y in (0, 1)]
             parent = gathered[blocks[i].parent]
             parent[0] += up[i][0]
@@ -249,7 +257,7 @@ class Potentials:
         out = []
         for i in range(n):
             if i:
-                parent, s = blocks[i].parent, sides[i]
+                parent, s = blocks[i].parent, edges[i]
                 rest = [gathered[parent][y] + down[parent][y] - up[i][y] for y in (0, 1)]
                 top = max(rest)
                 down[i] = [_add(rest[0] - top + self.pair[s, 0, y], rest[1] - top + self.pair[s, 1, y]) for y in (0, 1)]
@@ -269,10 +277,10 @@ def page_counts(html: str | None) -> Counter:
     labels = own_labels(blocks)
     counts: Counter = Counter()
     if labels:
-        for block, y, seen in zip(blocks, labels, observations(blocks)):
+        for i, (block, y, seen) in enumerate(zip(blocks, labels, observations(blocks))):
             counts.update(f"{o}|{y}" for o in seen)
-            if block.parent >= 0:
-                counts[f"pair {side(block)} {labels[block.parent]} {y}"] += 1
+            if i:
+                counts[f"pair {edge(blocks, i)} {labels[block.parent]} {y}"] += 1
     return counts
 
 
