@@ -239,7 +239,8 @@ def match_table(docs: DataFrame) -> DataFrame:
     seeds = seed_table(docs)
     shared = seeds.groupBy("seed").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("last")).where("source < last").drop("last")
     hits = materialize(seeds.join(materialize(shared, "shared"), "seed"), "hits")
-    home = hits.where("doc_id = source").groupBy("seed").agg(F.min("place").alias("source_place"))
+    # stored, so that the join below reads both sides from a shuffle and a hot seed can be split
+    home = materialize(hits.where("doc_id = source").groupBy("seed").agg(F.min("place").alias("source_place")), "home")
     return hits.where("doc_id != source").join(home, "seed").select("doc_id", "place", "source", "source_place")
 
 
