@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 # Rows sent to Python at a time: bounds the memory of a worker where texts are very long.
 BATCH_ROWS = 200
 # Text bytes that one numpy pass covers.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
