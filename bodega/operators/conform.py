@@ -23,14 +23,17 @@ def dedup(df: DataFrame, keys: Sequence[str] | None = None,
 
     Both forms combine on the map side, so a key with very many copies is reduced before the
     shuffle. Rows equal in ``newest`` are decided by the remaining columns, hence repeatable.
+    Rows with a null in ``keys`` are not one another's copies: of them only whole-row duplicates go.
     """
     if not keys:
         return df.dropDuplicates()
     order = [c for c in newest if c in df.columns]
     rest = [c for c in df.columns if c not in order and c not in keys]
     best = F.max(F.struct(*order, *rest)).alias("_best")
-    return df.groupBy(*keys).agg(best).select(
+    known = all_present(keys)
+    reduced = df.where(known).groupBy(*keys).agg(best).select(
         *[F.col(c) if c in keys else F.col(f"_best.{c}").alias(c) for c in df.columns])
+    return reduced.unionByName(df.where(~known).dropDuplicates())
 
 
 def all_present(columns: Sequence[str]) -> Column:
@@ -80,7 +83,7 @@ def fk_valid(df: DataFrame, parent: DataFrame, key: str, how: str = "left_semi")
 
 
 def tag_rows(df: DataFrame, spec: TableSpec, parent: DataFrame | None = None,
-             hot_keys: Sequence | None = None) -> DataFrame:
+             hot_keys: Mapping | None = None) -> DataFrame:
     """Add ``error_reason``: NONE for a valid row, else the first rule it breaks.
 
     One pass instead of one anti and one semi join: the row is joined to the distinct parent
@@ -101,7 +104,7 @@ def tag_rows(df: DataFrame, spec: TableSpec, parent: DataFrame | None = None,
 
 
 def conform(df: DataFrame, spec: TableSpec, parent: DataFrame | None = None,
-            keys: Sequence[str] | None = None, hot_keys: Sequence | None = None) -> DataFrame:
+            keys: Sequence[str] | None = None, hot_keys: Mapping | None = None) -> DataFrame:
     """All silver rules of one table; every input row leaves once, tagged valid or rejected.
 
     Personal data is hashed before rejects are told apart, so no reject keeps it in clear.

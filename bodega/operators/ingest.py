@@ -9,6 +9,30 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def conform_types(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of ``schema`` in its types, whatever types the source gives them in.
+
+    Dates kept as text and money kept as floats are converted. Columns the source lacks are null.
+    ``_misfit`` names the columns whose value does not fit its type (null where all fit); those
+    columns are null, and ``_raw`` holds such a row as it came, as JSON.
+    """
+    given = {c.lower(): c for c in df.columns}
+    cast, misfits = [], []
+    for field in schema:
+        name = given.get(field.name.lower())
+        if name is None:
+            cast.append(F.lit(None).cast(field.dataType).alias(field.name))
+            continue
+        raw = F.col(f"`{name}`")
+        value = raw if df.schema[name].dataType == field.dataType else raw.try_cast(field.dataType)
+        cast.append(value.alias(field.name))
+        if df.schema[name].dataType != field.dataType:
+            misfits.append(F.when(raw.isNotNull() & value.isNull(), F.lit(field.name)))
+    bad = F.concat_ws(",", *misfits) if misfits else F.lit("")
+    return df.select(*cast, F.nullif(bad, F.lit("")).alias("_misfit"),
+                     F.when(bad != "", F.to_json(F.struct(*df.columns))).alias("_raw"))
+
+
 def rows_after(df: DataFrame, column: str, last: str | None, inclusive: bool = False) -> DataFrame:
     """Rows with ``column`` above the last watermark; everything when there is none.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Sequence
 
@@ -9,30 +10,45 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BITS = 4
-_PREFIX_BYTES = 7  # fits a positive long
+BITS = 4              # at least so many bits a column
+SAMPLE_ROWS = 20_000  # values of a text column that its bounds are taken from
 
 
-def _as_number(df: DataFrame, column: str) -> Column:
-    """A number in the order of the column; text counts by its leading bytes."""
-    kind = df.schema[column].dataType
-    if isinstance(kind, T.StringType):
-        hex_text = F.rpad(F.hex(F.substring(F.encode(F.col(column), "UTF-8"), 1, _PREFIX_BYTES)),
-                          2 * _PREFIX_BYTES, "0")
-        return F.conv(hex_text, 16, 10).cast("long")
-    if isinstance(kind, T.DateType):
+def bits_for(files: int, columns: int) -> int:
+    """Bits a column so that each column alone could tell as many ranges as files hold of it."""
+    return max(BITS, math.ceil(math.log2(max(files, 1)) / columns) + 1)
+
+
+def _as_value(df: DataFrame, column: str) -> Column:
+    """What is compared with the bounds: text as it is, dates as days."""
+    if isinstance(df.schema[column].dataType, T.DateType):
         return F.unix_date(F.col(column)).cast("long")
     return F.col(column)
 
 
 def range_bounds(df: DataFrame, columns: Sequence[str], bits: int = BITS) -> dict[str, list]:
-    """The 2^bits - 1 inner quantiles per column, ascending, from one pass over these columns.
+    """The 2^bits - 1 inner quantiles per column, ascending.
 
-    A frequent value is several quantiles at once.
+    Numbers and dates by one pass of sketches; texts, of which there are no sketches, by a sample
+    chosen by a hash. Bounds steer the layout only. A frequent value is several quantiles at once.
     """
     shares = [i / 2**bits for i in range(1, 2**bits)]
-    row = df.agg(*[F.percentile_approx(_as_number(df, c), shares).alias(c) for c in columns]).first()
-    return {c: list(row[c] or []) for c in columns}
+    texts = [c for c in columns if isinstance(df.schema[c].dataType, T.StringType)]
+    numbers = [c for c in columns if c not in texts]
+    bounds = {}
+    if numbers:
+        row = df.agg(*[F.percentile_approx(_as_value(df, c), shares).alias(c) for c in numbers]).first()
+        bounds = {c: list(row[c] or []) for c in numbers}
+    if texts:
+        sample = df.select(*texts).orderBy(_row_hash(df)).limit(SAMPLE_ROWS).collect()
+        for c in texts:
+            values = sorted(r[c] for r in sample if r[c] is not None)
+            bounds[c] = [values[int(s * len(values))] for s in shares] if values else []
+    return bounds
+
+
+def _row_hash(df: DataFrame) -> Column:
+    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def range_bucket(value: Column, bounds: Sequence) -> Column:
@@ -60,11 +76,11 @@ def z_value(df: DataFrame, columns: Sequence[str], bits: int = BITS,
             bounds_from: DataFrame | None = None) -> Column:
     """z-value of several columns, with bounds taken from ``bounds_from`` or ``df`` itself."""
     bounds = range_bounds(df if bounds_from is None else bounds_from, columns, bits)
-    return interleave([range_bucket(_as_number(df, c), bounds[c]) for c in columns], bits)
+    return interleave([range_bucket(_as_value(df, c), bounds[c]) for c in columns], bits)
 
 
 def cluster(df: DataFrame, columns: Sequence[str], within: Sequence[str] = (), files: int | None = None,
-            bits: int = BITS, bounds_from: DataFrame | None = None) -> DataFrame:
+            bits: int | None = None, bounds_from: DataFrame | None = None) -> DataFrame:
     """Range-partition and sort ``df`` along its z-value (one column: along the column).
 
     ``within`` are partition columns of the target, kept as leading range keys, so a task holds
@@ -73,7 +89,9 @@ def cluster(df: DataFrame, columns: Sequence[str], within: Sequence[str] = (), f
     table with the same columns can give them (``bounds_from``) where ``df`` is costly to compute.
     """
     keep = df.columns
-    tie = F.xxhash64(*[F.col(f"`{c}`") for c in keep])
+    tie = _row_hash(df)
+    if bits is None:
+        bits = bits_for(files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), len(columns))
     along = F.col(columns[0]) if len(columns) == 1 else z_value(df, columns, bits, bounds_from)
     keyed = df.withColumns({"_z": along, "_tie": tie})
     keys = [*within, "_z", "_tie"]

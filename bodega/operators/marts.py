@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +21,7 @@ def _sales_measures(transactions: str) -> list[Column]:
     ]
 
 
-def daily_sales(sales: DataFrame, products: DataFrame, hot_articles: Sequence | None = None) -> DataFrame:
+def daily_sales(sales: DataFrame, products: DataFrame, hot_articles: Mapping | None = None) -> DataFrame:
     """Net sales, mean ticket and transactions by date, channel, store and category."""
     category = one_per_key(products, "art_id", ["id_categ_n1"]).withColumnRenamed("art_id", "_art")
     sold = sales.select("fec_venta", "canal_venta", "id_tienda", "art_id", "id_trans", "vr_venta_neto")

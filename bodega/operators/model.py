@@ -64,11 +64,11 @@ def one_per_key(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     return df.groupBy(key).agg(first).select(key, "_first.*")
 
 
-def _lookup(fact: DataFrame, lookup: DataFrame, key: str, hot_keys: Sequence | None) -> DataFrame:
+def _lookup(fact: DataFrame, lookup: DataFrame, key: str, hot_keys: Mapping | None) -> DataFrame:
     """Left join to a lookup with one row per key.
 
-    ``hot_keys`` None leaves the join to Spark; a list, even an empty one, salts these keys and
-    the null keys.
+    ``hot_keys`` (key: rows) None leaves the join to Spark; a mapping, even an empty one, salts these
+    keys and the null keys.
     """
     lookup = lookup.withColumnRenamed(key, "_key")
     if hot_keys is not None:
@@ -76,7 +76,7 @@ def _lookup(fact: DataFrame, lookup: DataFrame, key: str, hot_keys: Sequence | N
     return fact.join(lookup, F.col(key) == F.col("_key"), "left").drop("_key")
 
 
-def fact_sales(sales: DataFrame, customers: DataFrame, hot_keys: Sequence | None = None) -> DataFrame:
+def fact_sales(sales: DataFrame, customers: DataFrame, hot_keys: Mapping | None = None) -> DataFrame:
     """Sales with validated customer, net value, discount flag and sale date.
 
     Joined to the distinct customer keys: a member stored twice does not double its sales.
@@ -92,7 +92,7 @@ def fact_sales(sales: DataFrame, customers: DataFrame, hot_keys: Sequence | None
     })
 
 
-def fact_inventory(stock: DataFrame, products: DataFrame, hot_keys: Sequence | None = None) -> DataFrame:
+def fact_inventory(stock: DataFrame, products: DataFrame, hot_keys: Mapping | None = None) -> DataFrame:
     """Stock snapshots with lead time, 14-day consumption, coverage, stock-out alert."""
     lead_time = one_per_key(products, "art_id", ["tiempo_repo_dias"])
     consumption, coverage = F.col("promedio_consumo_14dias"), F.col("cobertura_dias")
@@ -117,19 +117,22 @@ def fact_returns(
     sales: DataFrame,
     products: DataFrame,
     reasons: Mapping[str, str] | None = None,
-    hot_sales: Sequence | None = None,
-    hot_returns: Sequence | None = None,
-    hot_articles: Sequence | None = None,
+    hot_sales: Mapping | None = None,
+    hot_returns: Mapping | None = None,
+    hot_articles: Mapping | None = None,
 ) -> DataFrame:
     """Returns with the sale they refer to, category and supplier, reason text, return rate.
 
-    A sale stored more than once yields one row per copy. Sales and returns are both large:
+    A sale stored more than once yields one row per copy. Few sales are returned, so sales are first
+    reduced to the returned ids (a semi-join, for which Spark broadcasts or filters the sales scan);
     hot transaction ids can be salted on either side.
     """
-    sold = sales.select(F.col("id_trans").alias("_sale"), "qty_vendida", "precio_unitario_venta")
     back = returns.select(*RETURN_COLUMNS)
+    returned = back.select(F.col("id_trans_origen").alias("_returned")).where("_returned IS NOT NULL").distinct()
+    sold = sales.select(F.col("id_trans").alias("_sale"), "qty_vendida", "precio_unitario_venta").join(
+        returned, F.col("_sale") == F.col("_returned"), "left_semi")
     if hot_sales is not None or hot_returns is not None:
-        joined = skew_join(back, sold, "id_trans_origen", "_sale", hot_returns or (), hot_sales or ())
+        joined = skew_join(back, sold, "id_trans_origen", "_sale", hot_returns, hot_sales)
     else:
         joined = back.join(sold, F.col("id_trans_origen") == F.col("_sale"), "left")
     category = one_per_key(products, "art_id", ["id_categ_n1", "id_proveedor"])

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from bodega.functions.measures import percent
 from bodega.operators.conform import ACCEPTED, REASON
 from bodega.schemas import NULL_REASON
+from bodega.session import materialize
 
 
 def _long_form(row: DataFrame, ids: list[str], columns: list[str], name: str, value: str) -> DataFrame:
@@ -88,20 +90,33 @@ def duplicate_rows(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     return df.groupBy(*(keys or df.columns)).agg(F.count("*").alias("copies")).where("copies > 1")
 
 
-def check_no_duplicates(df: DataFrame, name: str) -> DataFrame:
-    """Surplus rows: row count minus distinct row count.
+def check_table(df: DataFrame, rules: list[Rule], duplicates: str) -> DataFrame:
+    """(test_name, violations) of row rules and of the rule that no row occurs twice, named ``duplicates``.
 
-    First only a 128-bit hash of each row is shuffled. Rows that are alone under their hash are
-    certainly unique, so a clean table is done; only otherwise the rows are compared in full.
+    One pass: a 128-bit hash of each row is shuffled together with the rules it breaks, and the sums
+    are observed while the hashes seen twice are stored. Only rows under such a hash are then
+    compared in full, so a few copies do not send the table through another shuffle.
     """
+    spark = df.sparkSession
     columns = [F.col(f"`{c}`") for c in df.columns]
-    hashed = df.select(F.xxhash64(*columns).alias("a"), F.xxhash64(F.lit(1), *columns).alias("b"))
-    if duplicate_rows(hashed).isEmpty():
-        violations = df.sparkSession.range(1).select(F.lit(0).cast("long").alias("violations"))
-    else:
-        violations = duplicate_rows(df).agg(F.sum(F.col("copies") - 1).alias("violations"))
-    return violations.select(
-        F.lit(name).alias("test_name"), F.coalesce("violations", F.lit(0)).alias("violations"))
+    a, b = F.xxhash64(*columns), F.xxhash64(F.lit(1), *columns)
+    broken = [F.coalesce(r.violation, F.lit(False)).cast("long").alias(f"r{i}") for i, r in enumerate(rules)]
+    hashed = df.select(a.alias("a"), b.alias("b"), *broken).groupBy("a", "b").agg(
+        F.count(F.lit(1)).alias("copies"), *[F.sum(f"r{i}").alias(f"r{i}") for i in range(len(rules))])
+    seen = Observation(f"rules-{uuid.uuid4().hex}")
+    observed = hashed.observe(seen, F.count(F.lit(1)).alias("n"), *[F.sum(f"r{i}").alias(f"r{i}") for i in range(len(rules))])
+    twice = materialize(observed.where("copies > 1").select(F.col("a").alias("_a"), F.col("b").alias("_b")), "twice")
+    surplus = 0
+    if not twice.isEmpty():
+        suspects = df.join(twice, (a == F.col("_a")) & (b == F.col("_b")), "left_semi")
+        surplus = duplicate_rows(suspects).agg(F.sum(F.col("copies") - 1)).first()[0] or 0
+    counts = [(r.name, int(seen.get.get(f"r{i}") or 0)) for i, r in enumerate(rules)]
+    return spark.createDataFrame([*counts, (duplicates, int(surplus))], "test_name string, violations bigint")
+
+
+def check_no_duplicates(df: DataFrame, name: str) -> DataFrame:
+    """Surplus rows: row count minus distinct row count."""
+    return check_table(df, [], name)
 
 
 def rule_results(*checks: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bodega.functions import measures as M
-from bodega.operators.tiles import PLAIN_ROWS, TileOrder, ntile_global
+from bodega.operators.tiles import TileOrder, ntile_distributed
 from bodega.session import materialize
 
 ACTIVE_DAYS = 180
@@ -56,8 +56,7 @@ def rfm_metrics(sales: DataFrame, as_of: M.AsOf = None, days: int = WINDOW_DAYS,
     )
 
 
-def rfm_scores(metrics: DataFrame, order: str = "reference", plain_rows: int = PLAIN_ROWS,
-               stored: bool = False) -> DataFrame:
+def rfm_scores(metrics: DataFrame, order: str = "reference", stored: bool = False) -> DataFrame:
     """Quintiles ``r_score``, ``f_score``, ``m_score``; ties by customer id.
 
     ``order="reference"`` numbers frequency and value from the top, so 1 is the best there and
@@ -73,7 +72,7 @@ def rfm_scores(metrics: DataFrame, order: str = "reference", plain_rows: int = P
         "m_score": TileOrder("monetary", descending=True),
     }
     flipped = ["r_score"] if order == "reference" else list(orders)
-    tiled = ntile_global(table, orders, "id_miembro", TILES, plain_rows)
+    tiled = ntile_distributed(table, orders, "id_miembro", TILES)
     return tiled.withColumns({name: F.lit(TILES + 1) - F.col(name) for name in flipped})
 
 

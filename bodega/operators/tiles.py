@@ -19,8 +19,6 @@ from pyspark.sql import functions as F
 from bodega.functions.measures import first_match
 
 ACCURACY = 10_000
-# A single task sorts this many (value, key) pairs in a few seconds; larger tables are split.
-PLAIN_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -30,15 +28,6 @@ class TileOrder:
     column: str
     descending: bool = False
 
-    def sort(self) -> Column:
-        return F.desc(self.column) if self.descending else F.asc(self.column)
-
-
-def ntile_window(df: DataFrame, orders: dict[str, TileOrder], key: str, k: int) -> DataFrame:
-    """Plain window ntile; every distinct order sorts the whole table in one task."""
-    return df.withColumns(
-        {name: F.ntile(k).over(Window.orderBy(o.sort(), F.asc(key))) for name, o in orders.items()})
-
 
 Ranks = dict[int, list[int]]  # group -> wanted ranks, counted from 1
 
@@ -188,11 +177,3 @@ def ntile_distributed(df: DataFrame, orders: dict[str, TileOrder], key: str, k:
             tile = tile + _after(end, order, key).cast("int")
         tiles[name] = tile
     return df.withColumns(tiles)
-
-
-def ntile_global(df: DataFrame, orders: dict[str, TileOrder], key: str, k: int,
-                 plain_rows: int = PLAIN_ROWS) -> DataFrame:
-    """Window ntile up to ``plain_rows`` rows (counted), the distributed one above."""
-    if df.count() <= plain_rows:
-        return ntile_window(df, orders, key, k)
-    return ntile_distributed(df, orders, key, k)

@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from bodega.operators.ingest import add_audit_columns, latest_watermarks, rows_after
+from bodega.operators.ingest import add_audit_columns, conform_types, latest_watermarks, rows_after
 from bodega.schemas import (
     LOG_SCHEMA,
     PARTITION_COLUMNS,
@@ -20,10 +20,11 @@ from bodega.schemas import (
     bronze_schema,
 )
 from bodega.session import folder_bytes, path_exists
-from bodega.sources.origins import Source
+from bodega.sources.origins import Source, load_after
 from bodega.sources.tables import append_partitioned, read_table
 
 NO_NEW_ROWS = "Sin nuevos registros"
+MISFIT_REASON = "VALUE_DOES_NOT_FIT_TYPE"
 
 
 def _utc_now() -> dt.datetime:
@@ -45,6 +46,10 @@ class BronzeRun:
     def table_path(self, table: str) -> str:
         return f"{self.root}/{table.lower()}"
 
+    def misfit_path(self, table: str) -> str:
+        """Rows with a value that does not fit the declared type, as they came."""
+        return f"{self.root}/misfits/{table.lower()}"
+
     @property
     def watermark_path(self) -> str:
         return f"{self.root}/watermarks"
@@ -85,23 +90,35 @@ def ingest_table(spark: SparkSession, source: Source, table: str, run: BronzeRun
                  last: str | None) -> tuple[int, int]:
     """Append the new rows of one table; returns (rows, stored bytes).
 
-    The source is read once: count and watermark are observed on the write itself. Observing
+    Values are converted to the declared types; rows in which one does not fit are kept apart, with
+    the columns named, in ``misfit_path``.
+
+    The source is read once (twice if rows do not fit): count and watermark are observed on the write itself. Observing
     happens in the stage that writes, where a retried task is counted once. Data first,
     then the watermark row, which commits the batch.
     """
     spec = TABLES[table]
-    rows = source.load(spark, table)
+    typed = conform_types(load_after(spark, source, table, spec.incremental, last, run.inclusive), spec.schema)
     if spec.incremental:
-        rows = rows_after(rows, spec.incremental, last, run.inclusive)
+        fresh = rows_after(typed, spec.incremental, last, run.inclusive)
+        if last is not None:  # a date that does not fit is after no watermark
+            fresh = fresh.unionByName(typed.where(F.col(spec.incremental).isNull() & F.col("_misfit").contains(spec.incremental)))
+        typed = fresh
     seen = Observation(f"{table}-{run.batch_id}")
-    measures = [F.count(F.lit(1)).alias("n")]
+    fits = F.col("_misfit").isNull()
+    measures = [F.count_if(fits).alias("n"), F.count_if(~fits).alias("unfit")]
     if spec.incremental:
-        latest = F.max(spec.incremental)
+        latest = F.max(F.when(fits, F.col(spec.incremental)))
         if run.max_date is not None:
-            latest = F.least(latest, F.lit(run.max_date).cast(rows.schema[spec.incremental].dataType))
+            latest = F.least(latest, F.lit(run.max_date).cast(typed.schema[spec.incremental].dataType))
         measures.append(latest.cast("string").alias("last"))
-    audited = add_audit_columns(rows.observe(seen, *measures), run.source_system, run.batch_id, run.run_ts)
+    rows = typed.observe(seen, *measures).where(fits).drop("_misfit", "_raw")
+    audited = add_audit_columns(rows, run.source_system, run.batch_id, run.run_ts)
     append_partitioned(audited, run.table_path(table), PARTITION_COLUMNS, run.fmt)
+    if seen.get.get("unfit", 0):
+        kept = typed.where(~fits).select("_raw", F.col("_misfit").alias("error_columns"), F.lit(MISFIT_REASON).alias("error_reason"),
+                                         F.lit(run.batch_id).alias("batch_id")).withColumnRenamed("_raw", "row")
+        kept.write.format(run.fmt).mode("append").save(run.misfit_path(table))
     count = seen.get.get("n", 0)
     if count == 0:
         return 0, 0
@@ -109,6 +126,22 @@ def ingest_table(spark: SparkSession, source: Source, table: str, run: BronzeRun
     return count, folder_bytes(spark, run.table_path(table))
 
 
+def commit_batch(spark: SparkSession, run: BronzeRun, table: str) -> int:
+    """Commit rows that a stream appended under the run's batch id; returns their number.
+
+    Silver reads only committed batches. The watermark lets later incremental runs go on from there.
+    """
+    spec = TABLES[table]
+    rows = read_bronze(spark, run, table).where(F.col("batch_id") == run.batch_id)
+    measures = [F.count(F.lit(1)).alias("n")]
+    if spec.incremental:
+        measures.append(F.max(spec.incremental).cast("string").alias("last"))
+    found = rows.agg(*measures).first().asDict()
+    if found["n"]:
+        _append_row(spark, (table, found.get("last"), run.batch_id, run.run_ts), run)
+    return found["n"]
+
+
 def ingest_all(spark: SparkSession, source: Source, run: BronzeRun,
                tables: Sequence[str] = tuple(TABLES)) -> DataFrame:
     """Ingest table after table; one failing table is logged and does not stop the rest.

@@ -26,19 +26,21 @@ class RunResult:
 
 
 def run_medallion(spark: SparkSession, source: Source, root: str, as_of: AsOf = None,
-                  catalog: str | None = None, strict: bool = False, **bronze_options) -> RunResult:
+                  catalog: str | None = None, strict: bool = False, newest_per_key: bool | None = None,
+                  **bronze_options) -> RunResult:
     """One complete run below ``root``. Logs, summaries and rule results are a few rows each.
 
-    A table that fails to load is in the log and the run goes on with what bronze holds of it;
-    ``strict`` stops after bronze instead.
+    A table that fails to load is in the log and the run goes on with what bronze holds of it, which
+    may be nothing: gold tables that need it are then not built. ``strict`` stops after bronze
+    instead. ``newest_per_key`` decides for silver, see ``SilverRun``.
     """
     bronze = BronzeRun(f"{root}/bronze", **bronze_options)
     log = ingest_all(spark, source, bronze).collect()
     failed = [row["table_name"] for row in log if row["status"] == "FAILED"]
     if failed and strict:
         raise StageFailed(f"bronze failed for {', '.join(failed)}: "
-                          + "; ".join(r["error_message"][:200] for r in log if r["status"] == "FAILED"))
-    silver = SilverRun(f"{root}/silver", bronze, catalog=f"{catalog}_silver" if catalog else None)
+                          + "; ".join(r["error_message"] for r in log if r["status"] == "FAILED"))
+    silver = SilverRun(f"{root}/silver", bronze, newest_per_key=newest_per_key, catalog=f"{catalog}_silver" if catalog else None)
     summaries = conform_all(spark, silver).collect()
     gold = GoldRun(f"{root}/gold", silver, as_of, catalog=f"{catalog}_gold" if catalog else None)
     return RunResult(log, summaries, build_gold(spark, gold), gold)

@@ -10,17 +10,19 @@ from pyspark.sql.types import StructType
 
 from bodega.functions.measures import AsOf
 from bodega.operators import marts, model, rfm
+from bodega.operators.conform import dedup
 from bodega.operators.joins import heavy_keys
 from bodega.operators.layout import cluster
 from bodega.operators.quality import (
-    check_no_duplicates,
     check_rules,
+    check_table,
     in_range,
     not_null,
     rule_results,
 )
 from bodega.plans.silver import SilverRun, large, read_silver
-from bodega.session import folder_bytes, sized_shuffles
+from bodega.schemas import TABLES
+from bodega.session import folder_bytes, path_exists, sized_shuffles
 from bodega.sources.tables import read_table, register_table, write_table
 
 # Tables with a clustered layout, and the columns their readers filter on.
@@ -29,6 +31,8 @@ CLUSTERED = {
     "fact_inventario": ("art_id", "id_tienda"),
     "fact_rfm_clientes": ("grupo_valor",),
 }
+GOLD_TABLES = ("dim_clientes", "dim_tiendas", "dim_productos", "fact_ventas", "fact_inventario", "fact_devoluciones",
+               "rfm_metrics", "fact_rfm_clientes", "agg_ventas_diarias", "agg_devoluciones_categoria", "kpi_ejecutivo_diario")
 PARTITIONED = {"fact_ventas": ("fec_venta",)}
 
 
@@ -59,6 +63,15 @@ class GoldBuilder:
     def _silver(self, table: str) -> DataFrame:
         return read_silver(self.spark, self.run.silver, table)
 
+    def _newest(self, table: str) -> DataFrame:
+        """Of a master table, the newest row of each key: copies would multiply what joins to them."""
+        return dedup(self._silver(table), [TABLES[table].key])
+
+    def _have(self, *tables: str) -> bool:
+        """Whether silver has these source tables, and this run has built these gold tables."""
+        silver = self.run.silver
+        return all(path_exists(self.spark, silver.tagged_path(t)) if t in TABLES else t in self._schemas for t in tables)
+
     def _built(self, table: str) -> DataFrame:
         """A stored gold table; its files are listed once, however many tables read it."""
         if table not in self._open:
@@ -82,7 +95,7 @@ class GoldBuilder:
             register_table(self.spark, f"{self.run.catalog}.{table}", self.run.path(table), self.run.fmt,
                            df.schema, partitions)
 
-    def _hot(self, fact: DataFrame, key: str, lookup_path: str) -> list | None:
+    def _hot(self, fact: DataFrame, key: str, lookup_path: str) -> dict | None:
         """Hot keys of a fact if its lookup is too large to be broadcast, else None."""
         run = self.run
         if not large(self.spark, lookup_path, run.broadcast_bytes):
@@ -90,67 +103,81 @@ class GoldBuilder:
         return heavy_keys(fact, key)
 
     def dimensions(self) -> None:
-        path = self.run.silver.path
-        self._write("dim_clientes", model.dim_customers(self._silver("CRM_MIEMBROS"), self.run.as_of), path("CRM_MIEMBROS"))
-        self._write("dim_tiendas", model.dim_stores(self._silver("MSTR_TIENDAS")), path("MSTR_TIENDAS"))
-        self._write("dim_productos", model.dim_products(
-            self._silver("MSTR_ARTICULOS"), self._silver("MSTR_PROVEEDORES")), path("MSTR_ARTICULOS"))
+        path = self.run.silver.tagged_path
+        if self._have("CRM_MIEMBROS"):
+            self._write("dim_clientes", model.dim_customers(self._newest("CRM_MIEMBROS"), self.run.as_of), path("CRM_MIEMBROS"))
+        if self._have("MSTR_TIENDAS"):
+            self._write("dim_tiendas", model.dim_stores(self._newest("MSTR_TIENDAS")), path("MSTR_TIENDAS"))
+        if self._have("MSTR_ARTICULOS", "MSTR_PROVEEDORES"):
+            self._write("dim_productos", model.dim_products(
+                self._newest("MSTR_ARTICULOS"), self._newest("MSTR_PROVEEDORES")), path("MSTR_ARTICULOS"))
 
     def facts(self) -> None:
-        run, silver_path = self.run, self.run.silver.path
-        products, products_path = self._built("dim_productos"), run.path("dim_productos")
-
-        sales = self._silver("TRANS_VENTAS")
-        hot = self._hot(sales, "id_miembro", run.path("dim_clientes"))
-        fact = model.fact_sales(sales, self._built("dim_clientes"), hot)
-        self._write("fact_ventas", fact, silver_path("TRANS_VENTAS"), bounds_from=sales)
-
-        stock = self._silver("INV_STOCK_DIARIO")
-        hot = self._hot(stock, "art_id", products_path)
-        fact = model.fact_inventory(stock, products, hot)
-        self._write("fact_inventario", fact, silver_path("INV_STOCK_DIARIO"), bounds_from=stock)
-
-        returns = self._silver("POST_DEVOLUCIONES")
-        sold, sold_path = self._built("fact_ventas"), run.path("fact_ventas")
-        fact = model.fact_returns(
-            returns, sold, products,
-            hot_sales=self._hot(sold, "id_trans", sold_path),
-            hot_returns=self._hot(returns, "id_trans_origen", sold_path),
-            hot_articles=self._hot(returns, "art_id", products_path))
-        self._write("fact_devoluciones", fact, sold_path)
+        run, silver_path = self.run, self.run.silver.tagged_path
+        products_path = run.path("dim_productos")
+
+        if self._have("TRANS_VENTAS", "dim_clientes"):
+            sales = self._silver("TRANS_VENTAS")
+            hot = self._hot(sales, "id_miembro", run.path("dim_clientes"))
+            fact = model.fact_sales(sales, self._built("dim_clientes"), hot)
+            self._write("fact_ventas", fact, silver_path("TRANS_VENTAS"), bounds_from=sales)
+
+        if self._have("INV_STOCK_DIARIO", "dim_productos"):
+            stock = self._silver("INV_STOCK_DIARIO")
+            hot = self._hot(stock, "art_id", products_path)
+            fact = model.fact_inventory(stock, self._built("dim_productos"), hot)
+            self._write("fact_inventario", fact, silver_path("INV_STOCK_DIARIO"), bounds_from=stock)
+
+        if self._have("POST_DEVOLUCIONES", "fact_ventas", "dim_productos"):
+            returns = self._silver("POST_DEVOLUCIONES")
+            fact = model.fact_returns(
+                returns, self._built("fact_ventas"), self._built("dim_productos"),
+                hot_articles=self._hot(returns, "art_id", products_path))
+            self._write("fact_devoluciones", fact, silver_path("POST_DEVOLUCIONES"))
 
     def segments(self) -> None:
         """Customer metrics are a stored table of their own: the tiles read it several times."""
+        if not self._have("fact_ventas"):
+            return
         self._write("rfm_metrics", rfm.rfm_metrics(self._built("fact_ventas"), self.run.as_of),
                     self.run.path("fact_ventas"))
         scores = rfm.rfm_scores(self._built("rfm_metrics"), self.run.score_order, stored=True)
         self._write("fact_rfm_clientes", rfm.rfm_groups(rfm.rfm_segments(scores)), self.run.path("rfm_metrics"))
 
     def marts(self) -> None:
-        sales, products = self._built("fact_ventas"), self._built("dim_productos")
         path, returns_path = self.run.path("fact_ventas"), self.run.path("fact_devoluciones")
-        hot = self._hot(sales, "art_id", self.run.path("dim_productos"))
-        self._write("agg_ventas_diarias", marts.daily_sales(sales, products, hot), path)
-        self._write("agg_devoluciones_categoria", marts.returns_by_category(self._built("fact_devoluciones")), returns_path)
-        self._write("kpi_ejecutivo_diario", marts.executive_kpis(sales), path)
+        if self._have("fact_ventas", "dim_productos"):
+            sales = self._built("fact_ventas")
+            hot = self._hot(sales, "art_id", self.run.path("dim_productos"))
+            self._write("agg_ventas_diarias", marts.daily_sales(sales, self._built("dim_productos"), hot), path)
+        if self._have("fact_devoluciones"):
+            self._write("agg_devoluciones_categoria", marts.returns_by_category(self._built("fact_devoluciones")), returns_path)
+        if self._have("fact_ventas"):
+            self._write("kpi_ejecutivo_diario", marts.executive_kpis(self._built("fact_ventas")), path)
 
     def rules(self) -> list[Row]:
-        with sized_shuffles(self.spark, folder_bytes(self.spark, self.run.path("fact_ventas"))):
-            return gold_rules(self._built("fact_ventas"), self._built("fact_inventario"),
-                              self._built("fact_rfm_clientes")).collect()
+        """Results of the rules whose tables this run has built."""
+        tables = [self._built(t) if self._have(t) else None for t in ("fact_ventas", "fact_inventario", "fact_rfm_clientes")]
+        if not any(t is not None for t in tables):
+            return []
+        source = self.run.path("fact_ventas" if tables[0] is not None else "fact_inventario")
+        with sized_shuffles(self.spark, folder_bytes(self.spark, source)):
+            return gold_rules(*tables).collect()
 
 
-def gold_rules(sales: DataFrame, inventory: DataFrame, segments: DataFrame) -> DataFrame:
-    """(test_name, passed) of the five gold rules; one aggregate per table and rule kind."""
-    return rule_results(
-        check_rules(sales, [
+def gold_rules(sales: DataFrame | None, inventory: DataFrame | None, segments: DataFrame | None) -> DataFrame:
+    """(test_name, passed) of the five gold rules, less those of absent tables; one aggregate per table."""
+    checks = []
+    if sales is not None:
+        checks.append(check_table(sales, [
             not_null("fact_ventas_pk_not_null", "id_trans"),
             in_range("ventas_no_negativas", "vr_venta_neto", low=0),
-        ]),
-        check_no_duplicates(sales, "fact_ventas_no_duplicates"),
-        check_rules(inventory, [in_range("stock_no_negativo", "stock_fisico", low=0)]),
-        check_rules(segments, [not_null("rfm_segmentado", "grupo_valor")]),
-    )
+        ], "fact_ventas_no_duplicates"))
+    if inventory is not None:
+        checks.append(check_rules(inventory, [in_range("stock_no_negativo", "stock_fisico", low=0)]))
+    if segments is not None:
+        checks.append(check_rules(segments, [not_null("rfm_segmentado", "grupo_valor")]))
+    return rule_results(*checks)
 
 
 def build_gold(spark: SparkSession, run: GoldRun) -> list[Row]:

@@ -2,21 +2,27 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
-from bodega.operators.conform import ACCEPTED, REASON, conform, rejected
+from bodega.operators.conform import ACCEPTED, REASON, accepted, conform, rejected
 from bodega.operators.ingest import committed_rows
 from bodega.operators.joins import heavy_keys
 from bodega.operators.quality import quality_report, run_summary
 from bodega.plans.bronze import BronzeRun, read_bronze, read_watermarks
-from bodega.schemas import TABLES, TableSpec
-from bodega.session import broadcast_limit, folder_bytes, sized_shuffles
+from bodega.schemas import TABLES, TableSpec, bronze_schema
+from bodega.session import broadcast_limit, folder_bytes, path_exists, sized_shuffles
 from bodega.sources.tables import read_table, register_table, write_table
 
 
+SUMMARY_SCHEMA = ("table_name string, original_count bigint, dedup_count bigint, final_count bigint, rejected_count bigint, "
+                  "fk_rejected_count bigint, duration_seconds double, batch_id string")
+
+
 @dataclass(frozen=True)
 class SilverRun:
     """Where silver lives. One folder per table, one subfolder per reject cause."""
@@ -24,10 +30,20 @@ class SilverRun:
     root: str
     bronze: BronzeRun
     fmt: str = "parquet"
-    newest_per_key: bool = False
+    newest_per_key: bool | None = None  # None: where a table's rows are read again by later runs
     broadcast_bytes: int | None = None  # None: the session's threshold
     catalog: str | None = None
 
+    def keeps_newest(self, spec: TableSpec) -> bool:
+        """Whether only the newest row of each key stays.
+
+        Later runs read rows again when a table is loaded in full every time, when rows equal to the
+        watermark are included, and when a cap keeps dates in the future from moving it.
+        """
+        if self.newest_per_key is not None:
+            return self.newest_per_key
+        return not spec.incremental or self.bronze.inclusive or self.bronze.max_date is not None
+
     def tagged_path(self, table: str) -> str:
         return f"{self.root}/{TABLES[table].silver}"
 
@@ -39,13 +55,27 @@ class SilverRun:
     def quality_path(self) -> str:
         return f"{self.root}/quality_reports"
 
+    @property
+    def summary_path(self) -> str:
+        return f"{self.root}/run_summaries"
+
+
+def tagged_schema(spark: SparkSession, run: SilverRun, table: str) -> StructType:
+    """Schema of a silver table with its reject cause; nothing is inferred from files, which an empty
+    table does not have."""
+    empty = spark.createDataFrame([], bronze_schema(table))
+    spec = TABLES[table]
+    parent = spark.createDataFrame([], bronze_schema(spec.foreign_key.parent)) if spec.foreign_key else None
+    return conform(empty, spec, parent).schema
+
 
 def read_silver(spark: SparkSession, run: SilverRun, table: str) -> DataFrame:
-    return read_table(spark, run.path(table), run.fmt)
+    """Accepted rows; none where a run accepted none."""
+    return accepted(read_table(spark, run.tagged_path(table), run.fmt, tagged_schema(spark, run, table)))
 
 
 def read_rejects(spark: SparkSession, run: SilverRun, table: str) -> DataFrame:
-    return rejected(read_table(spark, run.tagged_path(table), run.fmt))
+    return rejected(read_table(spark, run.tagged_path(table), run.fmt, tagged_schema(spark, run, table)))
 
 
 def large(spark: SparkSession, path: str, limit: int | None = None) -> bool:
@@ -53,9 +83,9 @@ def large(spark: SparkSession, path: str, limit: int | None = None) -> bool:
     return folder_bytes(spark, path) > (broadcast_limit(spark) if limit is None else limit)
 
 
-def _hot_parents(spark: SparkSession, run: SilverRun, bronze: DataFrame, spec: TableSpec) -> list | None:
+def _hot_parents(spark: SparkSession, run: SilverRun, bronze: DataFrame, spec: TableSpec) -> dict | None:
     parent = spec.foreign_key.parent
-    if not large(spark, run.path(parent), run.broadcast_bytes):
+    if not large(spark, run.tagged_path(parent), run.broadcast_bytes):
         return None  # the parent keys are broadcast, no shuffle to be skewed
     return heavy_keys(bronze, spec.foreign_key.key)
 
@@ -69,16 +99,17 @@ def conform_table(spark: SparkSession, run: SilverRun, table: str) -> tuple[Data
     spec = TABLES[table]
     bronze = committed_rows(read_bronze(spark, run.bronze, table), read_watermarks(spark, run.bronze), table)
     parent, hot = None, None
-    if spec.foreign_key:
+    if spec.foreign_key and path_exists(spark, run.tagged_path(spec.foreign_key.parent)):
         parent = read_silver(spark, run, spec.foreign_key.parent)
         hot = _hot_parents(spark, run, bronze, spec)
-    keys = [spec.key] if run.newest_per_key else None
+    keys = [spec.key] if run.keeps_newest(spec) else None
     tagged = conform(bronze, spec, parent, keys, hot)
     with sized_shuffles(spark, folder_bytes(spark, run.bronze.table_path(table))):
         write_table(tagged, run.tagged_path(table), run.fmt, partition_by=[REASON])
     if run.catalog:
-        register_table(spark, f"{run.catalog}.{spec.silver}", run.path(table), run.fmt,
-                       tagged.drop(REASON).schema)
+        if path_exists(spark, run.path(table)):
+            register_table(spark, f"{run.catalog}.{spec.silver}", run.path(table), run.fmt,
+                           tagged.drop(REASON).schema)
     stored = read_table(spark, run.tagged_path(table), run.fmt, tagged.schema)
     original = bronze.count()
     return (quality_report(stored, table, original, run.bronze.batch_id),
@@ -86,10 +117,21 @@ def conform_table(spark: SparkSession, run: SilverRun, table: str) -> tuple[Data
 
 
 def conform_all(spark: SparkSession, run: SilverRun, tables: Sequence[str] = tuple(TABLES)) -> DataFrame:
-    """Conform all tables, parents before children; appends the reports, returns the summaries."""
-    summaries = None
+    """Conform all tables that bronze has, parents before children; appends the reports and the
+    summaries (with seconds), returns the summaries.
+
+    A table that bronze never loaded is passed over; its children keep all their rows, as there is
+    no parent to check them against.
+    """
+    summaries = []
     for table in tables:
+        if not path_exists(spark, run.bronze.table_path(table)):
+            continue
+        start = time.monotonic()
         report, summary = conform_table(spark, run, table)
         report.coalesce(1).write.format(run.fmt).mode("append").save(run.quality_path)
-        summaries = summary if summaries is None else summaries.unionByName(summary)
-    return summaries
+        row = summary.first()
+        summaries.append((*row, round(time.monotonic() - start, 2), run.bronze.batch_id))
+    frame = spark.createDataFrame(summaries, SUMMARY_SCHEMA).coalesce(1)
+    frame.write.format(run.fmt).mode("append").save(run.summary_path)
+    return frame

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bodega.session import folder_bytes
@@ -24,22 +23,6 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
     return reader.load(path)
 
 
-def spread(df: DataFrame, min_bytes: int = 4 << 20) -> DataFrame:
-    """Redistribute a stored table that has far fewer splits than the session has cores.
-
-    A file with one row group is one task however large the session; everything up to the next
-    shuffle would run in it. Tables with enough splits, or little data, are left alone. Filters
-    and column pruning still pass to the scan.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 2 > cores:
-        return df
-    if sum(folder_bytes(spark, path) for path in df.inputFiles()) < min_bytes:
-        return df
-    return df.repartition(cores)
-
-
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 partition_by: Sequence[str] = (), rebalance: bool = False, dynamic: bool = False) -> None:
     """Write a table, whole or partitioned.
@@ -82,28 +65,22 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         header="true", nullValue="", escape='"', mode="FAILFAST", enforceSchema="false").csv(path)
 
 
-def stored_bytes(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """(files, bytes) of the data files of a table in all its partitions.
-
-    Reads no column of the table, and one row per file is left before the shuffle.
-    """
-    return (
-        spark.read.format(fmt).load(path)
-        .select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("b"))
-        .groupBy("f").agg(F.max("b").alias("b"))
-        .agg(F.count("*").alias("files"), F.coalesce(F.sum("b"), F.lit(0)).alias("bytes"))
-    )
+def stored_bytes(spark: SparkSession, path: str) -> DataFrame:
+    """(bytes) of all files of a table, from the file system's listing; no file is opened."""
+    return spark.createDataFrame([(folder_bytes(spark, path),)], "bytes bigint")
 
 
 def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet",
                    schema: T.StructType | None = None, partition_by: Sequence[str] = ()) -> None:
     """Make the table at ``path`` known as ``schema.table`` in the session catalog.
 
-    An entry that points elsewhere is replaced; partitions added since are picked up. With a
+    An entry that points elsewhere, or has other columns, is replaced; partitions added since are picked up. With a
     schema nothing is inferred from the files.
     """
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name.rsplit('.', 1)[0]}")
-    if spark.catalog.tableExists(name) and _location(spark, name) != path.rstrip("/").removeprefix("file:"):
+    if spark.catalog.tableExists(name) and (
+            _location(spark, name) != path.rstrip("/").removeprefix("file:")
+            or schema is not None and set(spark.table(name).columns) != set(schema.names)):
         spark.sql(f"DROP TABLE {name}")  # external: only the entry goes, the files stay
     declared = schema is not None and fmt not in SELF_DESCRIBED
     columns = f"({schema.toDDL()})" if declared else ""

@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from bodega.operators.ingest import add_audit_columns
+from bodega.plans.bronze import BronzeRun, commit_batch, read_watermarks
 from bodega.schemas import PARTITION_COLUMNS, TABLES
 
 
@@ -31,3 +32,16 @@ def stream_to_bronze(spark: SparkSession, table: str, landing: str, target: str,
         .trigger(availableNow=True)
         .start(target)
     )
+
+
+def stream_batch(spark: SparkSession, run: BronzeRun, table: str, landing: str, log: str, files_per_step: int = 1_000) -> int:
+    """Append all landed files to bronze as one batch of ``run`` and commit it, so that silver sees it.
+
+    Returns the rows of the batch. Called again after a failure it goes on where it stopped; the batch
+    is committed once its files are in.
+    """
+    query = stream_to_bronze(spark, table, landing, run.table_path(table), log, run.source_system, run.batch_id,
+                             run.run_ts, files_per_step)
+    query.awaitTermination()
+    read_watermarks(spark, run)
+    return commit_batch(spark, run, table)

@@ -1,7 +1,7 @@
 """The seven source tables as views over the given tables: one SQL text for both engines.
 
 The remainders below give columns their values and plant defects (repeated rows, null articles,
-negative stock); every row of the given tables stays in.
+unknown members, negative stock); every row of the given tables stays in.
 """
 
 from __future__ import annotations
@@ -10,11 +10,12 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bodega.sources.tables import spread
+from bodega.session import folder_bytes
 
 VIEWS = {
     "trans_ventas": """
-        SELECT l_orderkey*10+l_linenumber AS id_trans, o_custkey AS id_miembro,
+        SELECT l_orderkey*10+l_linenumber AS id_trans,
+          CASE WHEN l_orderkey % 13 = 5 THEN CAST(999999999 AS BIGINT) ELSE o_custkey END AS id_miembro,
           CAST(l_suppkey % 25 AS BIGINT) AS id_tienda, l_partkey AS art_id, l_shipdate AS fec_trans,
           concat(lpad(CAST(l_orderkey % 24 AS STRING), 2, '0'), ':', lpad(CAST(l_partkey % 60 AS STRING), 2, '0'), ':00') AS hra_trans,
           CAST(l_quantity AS INT) AS qty_vendida,
@@ -30,7 +31,7 @@ VIEWS = {
           CASE c_custkey % 6 WHEN 0 THEN '18-25' WHEN 1 THEN '26-35' WHEN 2 THEN '36-45' WHEN 3 THEN '46-60' WHEN 4 THEN '60+' END AS rango_edad,
           CASE WHEN c_custkey % 20 <> 0 THEN c_mktsegment END AS canal_pref, c_acctbal > 1000 AS activo,
           CAST('1990-01-01' AS DATE)+CAST(c_custkey % 1500 + c_custkey % 700 AS INT) AS fec_ultima_compra
-        FROM {customer} JOIN {nation} ON c_nationkey=n_nationkey WHERE c_acctbal >= 0""",
+        FROM {customer} JOIN {nation} ON c_nationkey=n_nationkey""",
     "mstr_tiendas": """
         SELECT CAST(n_nationkey AS BIGINT) AS id_tienda, n_name AS nom_tienda,
           CASE n_nationkey % 3 WHEN 0 THEN 'Hipermercado' WHEN 1 THEN 'Supermercado' ELSE 'Conveniencia' END AS tipo_tienda,
@@ -81,6 +82,21 @@ VIEWS = {
 }
 
 
+def spread(df: DataFrame, min_bytes: int = 4 << 20) -> DataFrame:
+    """Redistribute a stored table that has far fewer splits than the session has cores.
+
+    The given tables are files of one row group, so one task each however large the session; tables
+    of real size have splits enough, and the library reads them as they are.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() * 2 > cores:
+        return df
+    if sum(folder_bytes(spark, path) for path in df.inputFiles()) < min_bytes:
+        return df
+    return df.repartition(cores)
+
+
 def _inputs(name: str) -> list[str]:
     return list(dict.fromkeys(re.findall(r"\{(\w+)\}", VIEWS[name])))
 

@@ -17,6 +17,12 @@ SALE = ("id_trans, id_miembro, id_tienda, art_id, CAST(fec_trans AS VARCHAR) AS
 RETURN = ("id_devolucion, id_trans_origen, art_id, id_tienda, CAST(fec_devolucion AS VARCHAR) AS fec_devolucion, "
           "CAST(qty_devuelta AS BIGINT) AS qty_devuelta, motivo_cod, canal_devolucion, estado_devolucion, "
           "CAST(vr_reembolso AS DOUBLE) AS vr_reembolso")
+STOCK = ("id_snapshot, art_id, id_tienda, CAST(fec_snapshot AS VARCHAR) AS fec_snapshot, CAST(stock_fisico AS BIGINT) AS stock_fisico, "
+         "CAST(stock_transito AS BIGINT) AS stock_transito, CAST(stock_reservado AS BIGINT) AS stock_reservado, "
+         "CAST(stock_minimo_config AS BIGINT) AS stock_minimo_config, CAST(stock_maximo_config AS BIGINT) AS stock_maximo_config")
+# of the rows of a key that are equally new, the largest in column order
+NEWEST = ("id_miembro DESC, id_tienda DESC, fec_trans DESC, hra_trans DESC, qty_vendida DESC, precio_unitario_venta DESC, "
+          "descuento_aplicado DESC, tipo_pago DESC, canal_venta DESC")
 MEMBER_TAIL = "CAST(fec_ultima_compra AS VARCHAR) AS fec_ultima_compra"
 AUDIT = ("'2001-08-01 06:00:00' AS ingestion_timestamp, 'RETAIL_SOURCE' AS source_system, 'batch-1' AS batch_id, "
          "'2001' AS year, '08' AS month, '01' AS day")
@@ -257,13 +263,34 @@ _SQL = {
     "write_roundtrip": f"SELECT {STORE} FROM {{mstr_tiendas}}",
     "write_partitioned": (
         "SELECT id_trans, canal_venta, CAST(CASE WHEN fec_trans >= TIMESTAMP '2001-01-01 00:00:00' THEN 2 * qty_vendida ELSE qty_vendida END AS BIGINT) AS qty_vendida, "
-        "CAST(CAST(fec_trans AS DATE) AS VARCHAR) AS fec_venta, strftime(fec_trans, '%Y-%m') AS mes FROM {trans_ventas}"),
+        "CAST(CAST(fec_trans AS DATE) AS VARCHAR) AS fec_venta FROM {trans_ventas}"),
     "cluster_zorder": "WITH " + FACT + " SELECT id_trans, canal_venta, art_id, id_tienda, CAST(net AS DOUBLE) / 10000 AS vr_venta_neto FROM fact",
     "catalog_roundtrip": "WITH " + RETURNS_FACT + " " + RETURNS_MART,
     "preview_rows": "WITH " + PRODUCT + f" SELECT {PRODUCT_COLUMNS} FROM product ORDER BY art_id LIMIT 10",
     "raw_to_kpi": "WITH " + SILVER_FACT + " " + KPI.replace("{sales}", "fact"),
     "end_to_end_kpi": "WITH " + SILVER_FACT + " " + KPI.replace("{sales}", "fact"),
     "end_to_end_rfm": "WITH " + SILVER_FACT + "," + metrics("fact") + "," + SCORES + f" SELECT {SCORE_COLUMNS}, segmento_rfm, grupo_valor FROM groups_",
+    "stored_bytes": "SELECT count(*) AS rows, true AS bytes_match FROM {trans_ventas}",
+    "scan_csv": f"SELECT {STOCK} FROM {{inv_stock_diario}} WHERE fec_snapshot > DATE '1999-06-30'",
+    "dedup_null_keys": (
+        f"SELECT {SALE} FROM (SELECT *, row_number() OVER (PARTITION BY art_id, id_trans ORDER BY {NEWEST}) AS place FROM {{trans_ventas_raw}} "
+        f"WHERE art_id IS NOT NULL) t WHERE place = 1 UNION ALL SELECT DISTINCT {SALE} FROM {{trans_ventas_raw}} WHERE art_id IS NULL"),
+    "ingest_overlap": (
+        f"SELECT {SALE} FROM (SELECT *, row_number() OVER (PARTITION BY id_trans ORDER BY fec_trans > {AS_OF} DESC, {NEWEST.replace('fec_trans', 'art_id DESC, fec_trans')}) AS place "
+        "FROM {trans_ventas}) t WHERE place = 1"),
+    "skew_join_absent_key": (
+        "SELECT id_devolucion, r.art_id, a.art_id AS articulo, desc_art FROM {post_devoluciones} r "
+        "LEFT JOIN {mstr_articulos} a ON r.art_id = a.art_id AND a.art_id % 2 = 0"),
+    "dim_productos_after_two_runs": "WITH " + PRODUCT + f" SELECT {PRODUCT_COLUMNS} FROM product",
+    "stream_to_silver": f"SELECT DISTINCT {RETURN}, {AUDIT} FROM {{post_devoluciones}}",
+    "ingest_text_types": (
+        f"SELECT DISTINCT {SALE}, CAST(NULL AS VARCHAR) AS error_columns FROM {{trans_ventas}} WHERE id_trans % 101 <> 0 UNION ALL "
+        "SELECT id_trans, " + ", ".join(f"NULL AS {c}" for c in SALE_NAMES[1:]) + ", 'fec_trans' AS error_columns FROM {trans_ventas} WHERE id_trans % 101 = 0"),
+    "end_to_end_empty_table": "WITH " + SILVER_FACT + " " + KPI.replace("{sales}", "fact"),
+    "end_to_end_missing_table": (
+        "WITH " + SILVER_FACT + " SELECT table_name, (SELECT count(*) FROM (" + KPI.replace("{sales}", "fact") + ") k) AS kpi_rows FROM (VALUES "
+        "('dim_clientes'), ('dim_productos'), ('fact_ventas'), ('fact_inventario'), ('rfm_metrics'), ('fact_rfm_clientes'), "
+        "('agg_ventas_diarias'), ('kpi_ejecutivo_diario')) t(table_name)"),
 }
 for _name in ("fact_devoluciones", "fact_devoluciones_salted"):
     _SQL[_name] = "WITH " + RETURNS_FACT + (

@@ -2,7 +2,7 @@ from collections import Counter
 
 import pytest
 
-from bodega.operators.joins import heavy_keys, skew_join
+from bodega.operators.joins import TASK_ROWS, heavy_keys, salts_of, skew_join
 
 
 def brute_force(left, right):
@@ -18,11 +18,11 @@ RIGHT = [(1, i) for i in range(20)] + [(2, 0), (2, 0), (4, 4), (None, 1)] + [(5,
 
 
 @pytest.mark.parametrize("hot_left", [[], [1], [1, 8], [77]])
-@pytest.mark.parametrize("hot_right", [[], [1], [1, 2, 5]])
+@pytest.mark.parametrize("hot_right", [[], [1], [1, 2, 5], [8, 77, 1]])  # the right side has no 8
 def test_same_rows_as_plain_left_join(spark, hot_left, hot_right):
     left = spark.createDataFrame(LEFT, "k long, v long")
     right = spark.createDataFrame(RIGHT, "q long, w long")
-    joined = skew_join(left, right, "k", "q", hot_left, hot_right, salts=4)
+    joined = skew_join(left, right, "k", "q", dict.fromkeys(hot_left, 4 * TASK_ROWS), dict.fromkeys(hot_right, 4 * TASK_ROWS))
     assert joined.columns == ["k", "v", "q", "w"]
     assert Counter(tuple(r) for r in joined.collect()) == brute_force(LEFT, RIGHT)
 
@@ -33,7 +33,7 @@ def test_hot_rows_are_spread(spark):
     try:
         left = spark.range(8000).selectExpr("CASE WHEN id % 3 = 0 THEN 1 ELSE id END AS k", "id AS v")
         right = spark.range(8000).selectExpr("id AS q")
-        joined = skew_join(left, right, "k", "q", hot_left=[1], salts=64)
+        joined = skew_join(left, right, "k", "q", hot_left={1: 64 * TASK_ROWS})
         assert joined.where("k = 1").count() == 2668  # every third row, and id 1 itself
         parts = joined.selectExpr("spark_partition_id() AS p").groupBy("p").count().collect()
         counts = [r["count"] for r in parts]
@@ -45,6 +45,10 @@ def test_hot_rows_are_spread(spark):
 
 def test_heavy_keys(spark):
     df = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN -1 WHEN id % 3 = 1 THEN NULL ELSE id END AS k")
-    assert heavy_keys(df, "k", share=0.2) == [-1]
-    assert heavy_keys(df.where("k > 0"), "k", share=0.2) == []
-    assert heavy_keys(df.limit(0), "k") == []
+    assert heavy_keys(df, "k", share=0.2) == {-1: 1000}
+    assert heavy_keys(df.where("k > 0"), "k", share=0.2) == {}
+    assert heavy_keys(df.limit(0), "k") == {}
+
+
+def test_salts_follow_the_rows():
+    assert [salts_of(n) for n in (0, TASK_ROWS, 2 * TASK_ROWS + 1, 10**12)] == [2, 2, 3, 10**12 // TASK_ROWS]

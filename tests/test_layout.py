@@ -55,10 +55,18 @@ def test_buckets_follow_the_order_of_text_and_dates(spark):
     df = spark.createDataFrame(
         [("Añil", dt.date(1969, 5, 1)), ("Azul", dt.date(1970, 1, 1)), ("", dt.date(2025, 1, 1)), (None, None), ("Zeta", dt.date(2030, 1, 1))],
         "s string, d date")
-    got = df.select("s", L._as_number(df, "s").alias("n"), "d", L._as_number(df, "d").alias("m")).collect()
-    for value, number in (("s", "n"), ("d", "m")):
-        pairs = [(r[value], r[number]) for r in got if r[value] is not None]
-        by_number = [v for v, _ in sorted(pairs, key=lambda p: p[1])]
-        assert by_number == sorted((v for v, _ in pairs), key=lambda v: v.encode() if isinstance(v, str) else v)
+    got = [(r["d"], r["m"]) for r in df.select("d", L._as_value(df, "d").alias("m")).collect() if r["d"] is not None]
+    assert [d for d, _ in sorted(got, key=lambda p: p[1])] == sorted(d for d, _ in got)
+    bounds = L.range_bounds(df, ["s", "d"], bits=2)
+    assert bounds["s"] == sorted(bounds["s"], key=str.encode) and set(bounds["s"]) <= {"Añil", "Azul", "", "Zeta"}
     bucket = df.select(L.range_bucket(F.col("d"), [dt.date(1970, 1, 1)]).alias("b"))
     assert [r["b"] for r in bucket.collect()] == [0, 0, 1, 0, 1]
+
+
+def test_texts_that_share_a_long_prefix_are_told_apart(spark, tmp_path):
+    df = spark.range(4000).selectExpr("concat('warehouse-', lpad(CAST(id * 7919 % 4000 AS STRING), 6, '0')) AS s", "id % 60 AS n")
+    path = str(tmp_path / "t")
+    L.cluster(df, ["s", "n"], files=16).write.parquet(path)
+    stored = spark.read.parquet(path)
+    assert files_touched(stored, "s", "warehouse-001234") <= 8
+    assert L.bits_for(800_000, 3) == 8 and L.bits_for(8, 3) == L.BITS

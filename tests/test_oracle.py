@@ -5,8 +5,6 @@ import pytest
 from checks.oracle import ORACLE
 from checks.registry import QUERIES
 
-ROWS_ONLY = {"stored_bytes"}
-
 
 def ordered(rows, columns):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
@@ -14,8 +12,7 @@ def ordered(rows, columns):
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) - set(ORACLE) == ROWS_ONLY
-    assert set(ORACLE) <= set(QUERIES)
+    assert set(QUERIES) == set(ORACLE)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -28,11 +25,6 @@ def test_matches_sql(spark, duck, sf_dir, name):
     assert ordered([tuple(r) for r in df.collect()], df.columns) == expected
 
 
-def test_stored_bytes_equals_listing(spark, sf_dir):
-    row = QUERIES["stored_bytes"](spark, sf_dir).first()
-    assert row["files"] >= 1 and row["bytes"] > 0
-
-
 def test_entry_contract(spark):
     import __spark_entry__ as contract
 

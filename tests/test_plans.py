@@ -48,23 +48,31 @@ def test_kpis_read_only_their_columns(spark, sf_dir):
 
 def test_distributed_tiles_have_no_global_window(spark, sf_dir):
     metrics = rfm.rfm_metrics(known_sales(spark, sf_dir), "2001-08-01")
-    text = plan(rfm.rfm_scores(metrics, plain_rows=0))
+    text = plan(rfm.rfm_scores(metrics))
     assert "Window" not in text and "Exchange" not in text
 
 
 def test_no_cross_joins_in_facts(spark, sf_dir):
     facts = [
         model.fact_inventory(view(spark, sf_dir, "inv_stock_diario"), products(spark, sf_dir)),
-        model.fact_returns(view(spark, sf_dir, "post_devoluciones"), sales_fact(spark, sf_dir), products(spark, sf_dir), hot_sales=[1], hot_returns=[1]),
+        model.fact_returns(view(spark, sf_dir, "post_devoluciones"), sales_fact(spark, sf_dir), products(spark, sf_dir), hot_sales={1: 10}, hot_returns={1: 10}),
     ]
     for df in facts:
         assert "CartesianProduct" not in plan(df) and "NestedLoop" not in plan(df)
 
 
-def test_clean_table_shuffles_only_hashes(spark, sf_dir):
-    clean = view(spark, sf_dir, "trans_ventas_raw").distinct()
-    assert quality.check_no_duplicates(clean, "t").first()["violations"] == 0
-    assert "FileScan" not in plan(quality.check_no_duplicates(clean, "t"))
+def test_rules_count_copies_and_violations_exactly(spark, sf_dir):
+    raw = view(spark, sf_dir, "trans_ventas_raw")
+    rules = [quality.not_null("article", "art_id"), quality.in_range("quantity", "qty_vendida", low=10)]
+    got = {r["test_name"]: r["violations"] for r in quality.check_table(raw, rules, "copies").collect()}
+    assert got == {"article": raw.where("art_id IS NULL").count(), "quantity": raw.where("qty_vendida < 10").count(),
+                   "copies": raw.count() - raw.distinct().count()}
+    assert quality.check_no_duplicates(raw.distinct(), "t").first()["violations"] == 0
+
+
+def test_returns_shuffle_only_returned_sales(spark, sf_dir):
+    text = plan(model.fact_returns(view(spark, sf_dir, "post_devoluciones"), sales_fact(spark, sf_dir), products(spark, sf_dir)))
+    assert "LeftSemi" in text
 
 
 def test_builder_lists_a_table_once(spark, tmp_path):

@@ -95,15 +95,6 @@ def test_broadcast_limit_is_the_sessions(spark):
     assert broadcast_limit(spark) == 64 << 20
 
 
-def test_spread_only_under_split_tables(spark, tmp_path):
-    spark.range(1_000_000).selectExpr("id", "hash(id) AS h").coalesce(1).write.parquet(str(tmp_path / "one"))
-    one = spark.read.parquet(str(tmp_path / "one"))
-    assert tables.spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert tables.spread(one, min_bytes=1 << 40) is one
-    many = spark.range(1000)
-    assert tables.spread(many) is many
-
-
 def test_run_paths():
     run = BronzeRun("s3a://lake/bronze")
     assert run.table_path("TRANS_VENTAS") == "s3a://lake/bronze/trans_ventas"
@@ -111,7 +102,7 @@ def test_run_paths():
 
 
 class TestJdbc:
-    source = origins.JdbcSource("jdbc:x://host/db", {"user": "u", "driver": "d"}, partitions=7)
+    source = origins.JdbcSource("jdbc:x://host/db", {"user": "u", "driver": "d"}, rows_a_task=100)
 
     def reader(self, low_high):
         session = MagicMock()
@@ -119,7 +110,7 @@ class TestJdbc:
         return session
 
     def test_parallel_read_by_key_range(self):
-        session = self.reader((1, 900))
+        session = self.reader((1, 900, 650))
         self.source.load(session, "TRANS_VENTAS")
         bounds, read = session.read.jdbc.call_args_list
         assert "MIN(id_trans)" in bounds.args[1] and "dbo.TRANS_VENTAS" in bounds.args[1]
@@ -128,8 +119,14 @@ class TestJdbc:
             "column": "id_trans", "lowerBound": 1, "upperBound": 900, "numPartitions": 7}
         assert read.kwargs["properties"] == {"user": "u", "driver": "d", "fetchsize": "10000"}
 
+    def test_bounds_are_those_of_the_rows_read(self):
+        session = self.reader((880, 900, 20))
+        self.source.load_after(session, "TRANS_VENTAS", "fec_trans", "2001-01-01 00:00:00")
+        for call in session.read.jdbc.call_args_list:
+            assert "WHERE fec_trans > '2001-01-01 00:00:00'" in call.args[1]
+
     def test_empty_table_is_read_plainly(self):
-        session = self.reader((None, None))
+        session = self.reader((None, None, 0))
         self.source.load(session, "TRANS_VENTAS")
         assert "column" not in session.read.jdbc.call_args.kwargs
 
