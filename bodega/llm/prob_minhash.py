@@ -179,8 +179,8 @@ def signature_table(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 def sketch_shares(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     """pairs (a, b) with the share of registers in which the sketches of both agree."""
-    joined = pairs.join(sketches.select(F.col("doc_id").alias("a"), F.col("sketch").alias("sa")), "a").join(
-        sketches.select(F.col("doc_id").alias("b"), F.col("sketch").alias("sb")), "b").select("a", "b", "sa", "sb")
+    joined = pairs.join(sketches.select(F.col("doc_id").alias("a"), F.col("sketch").alias("sa")).hint("merge"), "a").join(
+        sketches.select(F.col("doc_id").alias("b"), F.col("sketch").alias("sb")).hint("merge"), "b").select("a", "b", "sa", "sb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -191,8 +191,19 @@ def sketch_shares(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "a bigint, b bigint, share double")
 
 
-def loose_pairs(signed: DataFrame) -> DataFrame:
-    """a, b, share: for each bucket of a band, its documents tied to leaders they resemble loosely.
+def some_rows(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of the given doc_id. Ids grow with the documents, so that they are not broadcast
+    at any size: small and large tables get one plan."""
+    return rows.join(ids.distinct().hint("merge"), "doc_id", "left_semi")
+
+
+def ids_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
+
+
+def loose_pairs(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """a, b, share: for each bucket of a band, its documents tied to leaders they resemble loosely;
+    and doc_id, sketch of the documents that share a bucket with another.
 
     A bucket's smallest document leads; those whose sketches agree with the leader's in
     ``LOOSE_SHARE`` are tied to it, the rest choose a leader among themselves, and so on until
@@ -202,18 +213,20 @@ def loose_pairs(signed: DataFrame) -> DataFrame:
     two bands. A pair of similarity 0.8 shares less than two bands with probability 8e-5.
     """
     members = signed.select(F.explode("bands").alias("h"), F.col("doc_id").alias("b"))
-    found = None
+    found, met = None, None
     turn = 0
     while True:
         leaders = members.groupBy("h").agg(F.min("b").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
         led = materialize(members.join(leaders, "h").where("a != b").select("h", "a", "b"), "members")
-        pairs = materialize(sketch_shares(led.select("a", "b").distinct(), signed), "pairs")
+        if met is None:  # who shares no bucket in the first round shares none later
+            met = materialize(some_rows(signed.select("doc_id", "sketch"), ids_of(led)), "sketches")
+        pairs = materialize(sketch_shares(led.select("a", "b").distinct(), met), "pairs")
         tied = pairs.where(F.col("share") >= LOOSE_SHARE)
         found = tied if found is None else found.unionByName(tied)
         apart = pairs.where(F.col("share") < LOOSE_SHARE).select("a", "b")
         members = materialize(led.join(apart, ["a", "b"], "left_semi").select("h", "b"), "members")
         if members.isEmpty():
-            return found.groupBy("a", "b").agg(F.max("share").alias("share"))
+            return found.groupBy("a", "b").agg(F.max("share").alias("share")), met
         turn += 1
         if turn == SINGLE_ROUNDS:
             members = band_pairs(members)
@@ -231,8 +244,8 @@ def band_pairs(members: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose whole texts are similar enough."""
     small_batches(pairs.sparkSession, 100)
-    joined = pairs.select("a", "b").join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a").join(
-        texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
+    joined = pairs.select("a", "b").join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")).hint("merge"), "a").join(
+        texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")).hint("merge"), "b").select("a", "b", "ta", "tb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, tuple[np.ndarray, np.ndarray]] = {}
@@ -280,7 +293,7 @@ def block_links(ids: list[int], asks: list[bool], parts: list[int], sketches: np
     return out
 
 
-def remaining_links(loose: DataFrame, links: DataFrame, signed: DataFrame, texts: DataFrame) -> DataFrame:
+def remaining_links(loose: DataFrame, links: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame:
     """Links between documents of one loose group that the links to leaders have not tied.
 
     In a group of several components, every document outside the largest one meets all documents of
@@ -296,8 +309,8 @@ def remaining_links(loose: DataFrame, links: DataFrame, signed: DataFrame, texts
     main = main.where("parts > 1").select(
         "group", F.col("top.part").alias("top"), F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks"),
         F.ceil((F.col("n") - F.col("top.n")) / BLOCK_ROWS).cast("int").alias("asking"))
-    rows = placed.join(main, "group").join(signed.select("doc_id", "sketch"), "doc_id")
-    rows = materialize(rows.join(texts, "doc_id").withColumn("asks", F.col("part") != F.col("top")), "blocks")
+    rows = placed.join(main, "group").join(sketches.hint("merge"), "doc_id")
+    rows = materialize(rows.join(texts.hint("merge"), "doc_id").withColumn("asks", F.col("part") != F.col("top")), "blocks")
     spread = F.xxhash64("doc_id")
     columns = ["group", "i", "j", "doc_id", "part", "sketch", "text"]
     every = rows.withColumn("j", F.pmod(spread, "blocks").cast("int")).withColumn("i", F.explode(F.expr("sequence(0, asking - 1)")))
@@ -326,12 +339,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     all_signed = materialize(signature_table(rows, "doc_id", "text"), "signatures")
     copies = materialize(all_signed.where("n_words > 0").groupBy("digest").agg(F.min("doc_id").alias("first")), "copies")
     signed = materialize(
-        all_signed.where("n_words > 0").join(copies.select(F.col("first").alias("doc_id")), "doc_id", "left_semi")
+        some_rows(all_signed.where("n_words > 0"), copies.select(F.col("first").alias("doc_id")))
         .select("doc_id", "sketch", "bands"), "signed")
-    loose = materialize(loose_pairs(signed), "loose")
-    near = components_texts(rows, loose)
+    tied, sketches = loose_pairs(signed)
+    loose = materialize(tied, "loose")
+    near = materialize(some_rows(rows, ids_of(loose)), "near")  # the only texts that move on
     links = materialize(verified(loose.where(F.col("share") >= SKETCH_SHARE), near), "links")
-    more = materialize(remaining_links(loose.select("a", "b"), links, signed, near), "links")
+    more = materialize(remaining_links(loose.select("a", "b"), links, sketches, near), "links")
     classes = components(links.unionByName(more)).select(F.col("node").alias("first"), "component")
     named = copies.join(classes, "first", "left").select("digest", F.coalesce("component", "first").alias("class_id"))
     of_rows = all_signed.select("doc_id", "n_words", "digest").join(named, "digest", "left").select(
@@ -341,12 +355,6 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return of_rows.unionByName(alone)
 
 
-def components_texts(rows: DataFrame, loose: DataFrame) -> DataFrame:
-    """doc_id and text of the documents in loose pairs: the only texts that move."""
-    ids = loose.select(F.col("a").alias("doc_id")).unionByName(loose.select(F.col("b").alias("doc_id"))).distinct()
-    return materialize(rows.join(ids, "doc_id", "left_semi"), "near")
-
-
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs``, unchanged, less the near duplicates of a kept one.
 
