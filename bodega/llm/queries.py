@@ -9,15 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bodega.llm import (
+    conversation_repair,
     host_rules,
     language_id,
     main_text,
     packing,
     passages,
+    periodic_runs,
     permutation_index,
     pieces,
     prob_minhash,
     quality_score,
+    source_mix,
     url_filter,
 )
 from bodega.llm.common import table
@@ -83,6 +86,21 @@ def op10_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_score.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document, and its source's target."""
+    return source_mix.mixed(table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation after the planted damage."""
+    return conversation_repair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document after the planted repeats."""
+    return periodic_runs.run_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_passages": op2_passages,
@@ -94,6 +112,9 @@ QUERIES: dict[str, Query] = {
     "op8_packing": op8_packing,
     "op9_url_filter": op9_url_filter,
     "op10_quality_score": op10_quality_score,
+    "op11_source_mix": op11_source_mix,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {
@@ -150,5 +171,28 @@ best AS (
     ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path))
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM best
 QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC NULLS LAST) = 1
+""",
+    "op11_source_mix": r"""
+WITH docs AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+    md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')) AS digest FROM documents),
+sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS n,
+    [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w FROM docs GROUP BY source),
+rates AS (
+  SELECT n, w, 2.0 * n / w AS reach,
+    (1.5 * sum(n) OVER () - coalesce(sum(2.0 * n) OVER (filled ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+      / sum(w) OVER (filled ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rate
+  FROM sources WINDOW filled AS (ORDER BY 2.0 * n / w, source)),
+goals AS (
+  SELECT source, n, least(2.0 * n, w * (SELECT arg_min(CAST(rate AS DOUBLE), reach) FROM rates WHERE 2.0 * n >= rate * w)) AS target
+  FROM sources),
+laid AS (
+  SELECT doc_id, size, goals.n, CAST(target AS DOUBLE) AS target, round(target) AS quota,
+    sum(size) OVER (PARTITION BY docs.source ORDER BY digest ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS until
+  FROM docs JOIN goals ON docs.source IS NOT DISTINCT FROM goals.source)
+SELECT doc_id, size, n AS source_size, target,
+  CAST(greatest(0, least(until, quota) - (until - size)) + greatest(0, least(n + until, quota) - (n + until - size)) AS BIGINT) AS taken
+FROM laid
 """,
 }
