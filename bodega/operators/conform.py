@@ -103,18 +103,21 @@ def tag_rows(df: DataFrame, spec: TableSpec, parent: DataFrame | None = None,
     return df.withColumn(REASON, reason.otherwise(ACCEPTED))
 
 
+def standardise(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """The rules that change columns: hashed personal data, types, null flags and defaults."""
+    if spec.hashed:
+        df = hash_columns(df, spec.hashed)
+    df = cast_columns(df, {"activo": T.BooleanType()})
+    return flag_and_fill(df, spec.defaults)
+
+
 def conform(df: DataFrame, spec: TableSpec, parent: DataFrame | None = None,
             keys: Sequence[str] | None = None, hot_keys: Mapping | None = None) -> DataFrame:
     """All silver rules of one table; every input row leaves once, tagged valid or rejected.
 
     Personal data is hashed before rejects are told apart, so no reject keeps it in clear.
     """
-    df = dedup(df, keys)
-    if spec.hashed:
-        df = hash_columns(df, spec.hashed)
-    df = cast_columns(df, {"activo": T.BooleanType()})
-    df = flag_and_fill(df, spec.defaults)
-    return tag_rows(df, spec, parent, hot_keys)
+    return tag_rows(standardise(dedup(df, keys), spec), spec, parent, hot_keys)
 
 
 def accepted(tagged: DataFrame) -> DataFrame:

@@ -4,33 +4,36 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def conform_types(df: DataFrame, schema: T.StructType) -> DataFrame:
+def conform_types(df: DataFrame, schema: T.StructType, dated: str | None = None) -> DataFrame:
     """The columns of ``schema`` in its types, whatever types the source gives them in.
 
     Dates kept as text and money kept as floats are converted. Columns the source lacks are null.
     ``_misfit`` names the columns whose value does not fit its type (null where all fit); those
-    columns are null, and ``_raw`` holds such a row as it came, as JSON.
+    columns are null, and ``_raw`` holds such a row as it came, as JSON. ``_digest`` tells
+    rows apart that do not fit or have nothing in the column ``dated``; other rows need none.
     """
     given = {c.lower(): c for c in df.columns}
-    cast, misfits = [], []
+    cast, misfits, known = [], [], F.lit(True)
     for field in schema:
         name = given.get(field.name.lower())
         if name is None:
             cast.append(F.lit(None).cast(field.dataType).alias(field.name))
+            known = F.lit(False) if field.name == dated else known
             continue
         raw = F.col(f"`{name}`")
         value = raw if df.schema[name].dataType == field.dataType else raw.try_cast(field.dataType)
         cast.append(value.alias(field.name))
+        known = value.isNotNull() if field.name == dated else known
         if df.schema[name].dataType != field.dataType:
             misfits.append(F.when(raw.isNotNull() & value.isNull(), F.lit(field.name)))
     bad = F.concat_ws(",", *misfits) if misfits else F.lit("")
     return df.select(*cast, F.nullif(bad, F.lit("")).alias("_misfit"),
-                     F.when(bad != "", F.to_json(F.struct(*df.columns))).alias("_raw"))
+                     F.when(bad != "", F.to_json(F.struct(*df.columns))).alias("_raw"), F.when((bad != "") | ~known, row_digest(df)).alias("_digest"))
 
 
 def rows_after(df: DataFrame, column: str, last: str | None, inclusive: bool = False) -> DataFrame:
@@ -88,8 +91,13 @@ def committed_rows(bronze: DataFrame, store: DataFrame, table: str) -> DataFrame
     """Rows of batches that reached the watermark store.
 
     A run that dies between data and watermark leaves rows of an unknown batch behind; its
-    successor reads them again. The batch list has one entry per run and becomes an IN filter:
-    a join on batch_id would put the first full load into a single task.
+    successor reads them again. The store has one short row per run and table, so Spark broadcasts it, and where batches
+    are stored as partitions the join prunes them before the scan; the plan does not grow with the runs.
     """
-    batches = [r["batch_id"] for r in store.where(F.col("table_name") == table).select("batch_id").distinct().collect()]
-    return bronze.where(F.col("batch_id").isin(batches)) if batches else bronze.limit(0)
+    done = store.where(F.col("table_name") == table).select("batch_id").distinct()
+    return bronze.join(done, "batch_id", "left_semi").select(*bronze.columns)
+
+
+def row_digest(df: DataFrame) -> Column:
+    """SHA-256 over all columns of a row as it came; equal rows have equal digests whatever the run."""
+    return F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"}), 256)

@@ -12,6 +12,7 @@ from bodega.functions.measures import AsOf
 from bodega.operators import marts, model, rfm
 from bodega.operators.conform import dedup
 from bodega.operators.joins import heavy_keys
+from bodega.operators.files import TARGET_BYTES, Compaction, ZoneMap, compact
 from bodega.operators.layout import cluster
 from bodega.operators.quality import (
     check_rules,
@@ -23,7 +24,8 @@ from bodega.operators.quality import (
 from bodega.plans.silver import SilverRun, large, read_silver
 from bodega.schemas import TABLES
 from bodega.session import folder_bytes, path_exists, sized_shuffles
-from bodega.sources.tables import read_table, register_table, write_table
+from bodega.sources import versions
+from bodega.sources.tables import SELF_DESCRIBED, read_table, register_table, write_table
 
 # Tables with a clustered layout, and the columns their readers filter on.
 CLUSTERED = {
@@ -38,7 +40,11 @@ PARTITIONED = {"fact_ventas": ("fec_venta",)}
 
 @dataclass(frozen=True)
 class GoldRun:
-    """Where gold lives and the date everything is relative to (None: today)."""
+    """Where gold lives and the date everything is relative to (None: today).
+
+    ``staged``: every overwrite is a new version, and the one before stays in force until it is finished. Formats that
+    keep versions themselves are overwritten in place.
+    """
 
     root: str
     silver: SilverRun
@@ -47,10 +53,18 @@ class GoldRun:
     catalog: str | None = None
     score_order: str = "reference"
     broadcast_bytes: int | None = None  # None: the session's threshold
+    staged: bool = True
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
+    def has_versions(self) -> bool:
+        return self.staged and self.fmt not in SELF_DESCRIBED
+
+    def current(self, spark: SparkSession, table: str) -> str:
+        """The folder that holds the table's rows now."""
+        return versions.current_path(spark, self.path(table)) if self.has_versions() else self.path(table)
+
 
 class GoldBuilder:
     """Writes the gold tables one after another; later ones read the stored earlier ones."""
@@ -72,11 +86,14 @@ class GoldBuilder:
         silver = self.run.silver
         return all(path_exists(self.spark, silver.tagged_path(t)) if t in TABLES else t in self._schemas for t in tables)
 
+    def _path(self, table: str) -> str:
+        return self.run.current(self.spark, table)
+
     def _built(self, table: str) -> DataFrame:
         """A stored gold table; its files are listed once, however many tables read it."""
         if table not in self._open:
             self._open[table] = read_table(
-                self.spark, self.run.path(table), self.run.fmt, self._schemas.get(table))
+                self.spark, self.run.current(self.spark, table), self.run.fmt, self._schemas.get(table))
         return self._open[table]
 
     def _write(self, table: str, df: DataFrame, source: str, bounds_from: DataFrame | None = None) -> None:
@@ -88,10 +105,14 @@ class GoldBuilder:
         with sized_shuffles(self.spark, folder_bytes(self.spark, source)):
             if table in CLUSTERED:
                 df = cluster(df, CLUSTERED[table], partitions, bounds_from=bounds_from)
-            write_table(df, self.run.path(table), self.run.fmt, partition_by=partitions)
+            if self.run.has_versions():
+                versions.overwrite(df, self.run.path(table), self.run.fmt, partitions,
+                                   f"{self.run.catalog}.{table}" if self.run.catalog else None)
+            else:
+                write_table(df, self.run.path(table), self.run.fmt, partition_by=partitions)
         self._schemas[table] = df.schema
         self._open.pop(table, None)
-        if self.run.catalog:
+        if self.run.catalog and not self.run.has_versions():
             register_table(self.spark, f"{self.run.catalog}.{table}", self.run.path(table), self.run.fmt,
                            df.schema, partitions)
 
@@ -113,12 +134,12 @@ class GoldBuilder:
                 self._newest("MSTR_ARTICULOS"), self._newest("MSTR_PROVEEDORES")), path("MSTR_ARTICULOS"))
 
     def facts(self) -> None:
-        run, silver_path = self.run, self.run.silver.tagged_path
-        products_path = run.path("dim_productos")
+        silver_path = self.run.silver.tagged_path
+        products_path = self._path("dim_productos")
 
         if self._have("TRANS_VENTAS", "dim_clientes"):
             sales = self._silver("TRANS_VENTAS")
-            hot = self._hot(sales, "id_miembro", run.path("dim_clientes"))
+            hot = self._hot(sales, "id_miembro", self._path("dim_clientes"))
             fact = model.fact_sales(sales, self._built("dim_clientes"), hot)
             self._write("fact_ventas", fact, silver_path("TRANS_VENTAS"), bounds_from=sales)
 
@@ -140,15 +161,15 @@ class GoldBuilder:
         if not self._have("fact_ventas"):
             return
         self._write("rfm_metrics", rfm.rfm_metrics(self._built("fact_ventas"), self.run.as_of),
-                    self.run.path("fact_ventas"))
+                    self._path("fact_ventas"))
         scores = rfm.rfm_scores(self._built("rfm_metrics"), self.run.score_order, stored=True)
-        self._write("fact_rfm_clientes", rfm.rfm_groups(rfm.rfm_segments(scores)), self.run.path("rfm_metrics"))
+        self._write("fact_rfm_clientes", rfm.rfm_groups(rfm.rfm_segments(scores)), self._path("rfm_metrics"))
 
     def marts(self) -> None:
-        path, returns_path = self.run.path("fact_ventas"), self.run.path("fact_devoluciones")
+        path, returns_path = self._path("fact_ventas"), self._path("fact_devoluciones")
         if self._have("fact_ventas", "dim_productos"):
             sales = self._built("fact_ventas")
-            hot = self._hot(sales, "art_id", self.run.path("dim_productos"))
+            hot = self._hot(sales, "art_id", self._path("dim_productos"))
             self._write("agg_ventas_diarias", marts.daily_sales(sales, self._built("dim_productos"), hot), path)
         if self._have("fact_devoluciones"):
             self._write("agg_devoluciones_categoria", marts.returns_by_category(self._built("fact_devoluciones")), returns_path)
@@ -160,7 +181,7 @@ class GoldBuilder:
         tables = [self._built(t) if self._have(t) else None for t in ("fact_ventas", "fact_inventario", "fact_rfm_clientes")]
         if not any(t is not None for t in tables):
             return []
-        source = self.run.path("fact_ventas" if tables[0] is not None else "fact_inventario")
+        source = self._path("fact_ventas" if tables[0] is not None else "fact_inventario")
         with sized_shuffles(self.spark, folder_bytes(self.spark, source)):
             return gold_rules(*tables).collect()
 
@@ -191,4 +212,23 @@ def build_gold(spark: SparkSession, run: GoldRun) -> list[Row]:
 
 
 def read_gold(spark: SparkSession, run: GoldRun, table: str, columns: Sequence[str] = ("*",)) -> DataFrame:
-    return read_table(spark, run.path(table), run.fmt).select(*columns)
+    return read_table(spark, run.current(spark, table), run.fmt).select(*columns)
+
+
+def zone_map(spark: SparkSession, run: GoldRun, table: str) -> ZoneMap:
+    """The zones of a clustered table's present files, kept outside its folder."""
+    path = run.current(spark, table)
+    schema = read_table(spark, path, run.fmt).schema
+    return ZoneMap(path, f"{run.root}/_zones/{table}/{path.rsplit('/', 1)[-1]}", schema, CLUSTERED[table], run.fmt)
+
+
+def optimize_tables(spark: SparkSession, run: GoldRun, target: int = TARGET_BYTES) -> dict[str, Compaction]:
+    """The layout command: small files of the three clustered tables are merged, and their zones brought up to date."""
+    done = {}
+    for table in CLUSTERED:
+        path = run.current(spark, table)
+        if not path_exists(spark, path):
+            continue
+        done[table] = compact(spark, path, read_table(spark, path, run.fmt).schema, PARTITIONED.get(table, ()), run.fmt, target)
+        zone_map(spark, run, table).refresh(spark)
+    return done

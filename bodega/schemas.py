@@ -110,6 +110,8 @@ TABLES: dict[str, TableSpec] = {
 AUDIT_SCHEMA = _schema("source_system:string batch_id:string year:string month:string day:string")
 AUDIT_SCHEMA = T.StructType([T.StructField("ingestion_timestamp", T.TimestampType()), *AUDIT_SCHEMA])
 PARTITION_COLUMNS = ("year", "month", "day")
+# Bronze keeps each batch in a folder of its own, so that a batch is read, or passed over, without its neighbours.
+STORED_PARTITIONS = (*PARTITION_COLUMNS, "batch_id")
 
 WATERMARK_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),

@@ -106,6 +106,12 @@ def folder_bytes(spark: SparkSession, path: str) -> int:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(target).getLength()
 
 
+def folder_files(spark: SparkSession, path: str) -> int:
+    """Number of files below a folder, from the listing alone."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(target).getFileCount()
+
+
 def remove_path(spark: SparkSession, path: str) -> bool:
     """Delete a folder of the lake through its own file system."""
     jvm = spark._jvm

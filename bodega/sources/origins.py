@@ -88,8 +88,9 @@ class JdbcSource:
             numPartitions=tasks, properties=options)
 
     def load_after(self, spark: SparkSession, table: str, column: str, last: str, inclusive: bool = False) -> DataFrame:
-        """The rows above a watermark, selected and cut by the database."""
-        return self.load(spark, table, f"{column} {'>=' if inclusive else '>'} '{last.replace(chr(39), chr(39) * 2)}'")
+        """The rows above a watermark and those without a value, selected and cut by the database."""
+        bound = f"'{last.replace(chr(39), chr(39) * 2)}'"
+        return self.load(spark, table, f"{column} {'>=' if inclusive else '>'} {bound} OR {column} IS NULL")
 
 
 def read_full(spark: SparkSession, source: Source, table: str) -> DataFrame:
@@ -103,7 +104,7 @@ def read_incremental(spark: SparkSession, source: Source, table: str, column: st
 
 def load_after(spark: SparkSession, source: Source, table: str, column: str | None, last: str | None,
                inclusive: bool = False) -> DataFrame:
-    """At least the rows above the watermark: those alone where the source can select, else all."""
+    """At least the rows above the watermark and those without a value: those alone where the source can select, else all."""
     if last is not None and column and hasattr(source, "load_after"):
         return source.load_after(spark, table, column, last, inclusive)
     return source.load(spark, table)

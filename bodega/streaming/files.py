@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from bodega.operators.ingest import add_audit_columns
 from bodega.plans.bronze import BronzeRun, commit_batch, read_watermarks
-from bodega.schemas import PARTITION_COLUMNS, TABLES
+from bodega.schemas import STORED_PARTITIONS, TABLES
 
 
 def stream_to_bronze(spark: SparkSession, table: str, landing: str, target: str, log: str,
@@ -27,7 +27,7 @@ def stream_to_bronze(spark: SparkSession, table: str, landing: str, target: str,
     return (
         add_audit_columns(rows, source_system, batch_id, run_ts)
         .writeStream.format("parquet")
-        .partitionBy(*PARTITION_COLUMNS)
+        .partitionBy(*STORED_PARTITIONS)
         .option("checkpointLocation", log)
         .trigger(availableNow=True)
         .start(target)

@@ -286,6 +286,36 @@ _SQL = {
     "ingest_text_types": (
         f"SELECT DISTINCT {SALE}, CAST(NULL AS VARCHAR) AS error_columns FROM {{trans_ventas}} WHERE id_trans % 101 <> 0 UNION ALL "
         "SELECT id_trans, " + ", ".join(f"NULL AS {c}" for c in SALE_NAMES[1:]) + ", 'fec_trans' AS error_columns FROM {trans_ventas} WHERE id_trans % 101 = 0"),
+    "compact_small_files": (
+        "SELECT count(*) AS rows, CAST(sum(qty_vendida) AS BIGINT) AS qty, CAST(sum(descuento_aplicado) AS DOUBLE) AS discount, true AS fewer, "
+        "true AS none_above, true AS large_kept, CAST(0 AS BIGINT) AS rewritten_again FROM {trans_ventas}"),
+    "cluster_skips_files": (
+        "WITH " + RFM + ", found(table_name, column_name, rows) AS ("
+        "SELECT 'fact_ventas', 'canal_venta', count(*) FROM fact WHERE canal_venta = 'Web' "
+        "UNION ALL SELECT 'fact_ventas', 'art_id', count(*) FROM fact WHERE art_id = 77 "
+        "UNION ALL SELECT 'fact_ventas', 'id_tienda', count(*) FROM fact WHERE id_tienda = 3 "
+        "UNION ALL SELECT 'fact_inventario', 'art_id', count(*) FROM {inv_stock_diario} WHERE art_id = 77 "
+        "UNION ALL SELECT 'fact_inventario', 'id_tienda', count(*) FROM {inv_stock_diario} WHERE id_tienda = 3 "
+        "UNION ALL SELECT 'fact_rfm_clientes', 'grupo_valor', count(*) FROM groups_ WHERE grupo_valor = 'Champions') "
+        "SELECT table_name, column_name, rows, true AS skips FROM found"),
+    "silver_incremental": (
+        "WITH placed AS (SELECT *, row_number() OVER (PARTITION BY id_trans ORDER BY id_trans % 50 <> 1 AND fec_trans > "
+        f"{SPLIT} DESC, " + NEWEST.replace("fec_trans", "art_id DESC NULLS LAST, fec_trans") + ") AS place FROM {trans_ventas_raw}), "
+        "merged AS (SELECT * REPLACE (CASE WHEN id_trans % 50 = 1 THEN fec_trans + INTERVAL 10 YEARS ELSE fec_trans END AS fec_trans, "
+        "CASE WHEN id_trans % 50 = 1 THEN qty_vendida + 1 ELSE qty_vendida END AS qty_vendida) FROM placed WHERE place = 1) "
+        f"SELECT {SALE}, CASE WHEN art_id IS NULL THEN 'NULL_MANDATORY_FIELD' "
+        "WHEN id_miembro NOT IN (SELECT id_miembro FROM {crm_miembros}) THEN 'INVALID_CUSTOMER_ID' ELSE 'NONE' END AS error_reason FROM merged"),
+    "overwrite_survives_failure": (
+        "SELECT id_tienda, nom_tienda, tipo_tienda, id_ciudad, id_pais, metros_cuadrados, activo, CAST(fec_apertura AS VARCHAR) AS fec_apertura, "
+        "r.read_by FROM {mstr_tiendas} JOIN (VALUES ('path'), ('name')) r(read_by) ON true"),
+    "ingest_misfits_once": "SELECT id_trans, 'fec_trans' AS error_columns, 'batch-0' AS batch_id FROM {trans_ventas} WHERE id_trans % 101 = 0",
+    "ingest_null_dates": (
+        "SELECT id_trans, CASE WHEN id_trans % 103 <> 0 THEN CAST(fec_trans AS VARCHAR) END AS fec_trans, "
+        f"CASE WHEN CASE WHEN id_trans % 103 = 0 THEN art_id % 2 = 0 ELSE fec_trans <= {SPLIT} END THEN 'batch-0' ELSE 'batch-1' END AS batch_id "
+        "FROM {trans_ventas}"),
+    "committed_thousand_batches": (
+        "SELECT 'batch-' || lpad(CAST(id_trans % 1000 AS VARCHAR), 3, '0') AS batch_id, count(*) AS rows, CAST(sum(qty_vendida) AS BIGINT) AS qty "
+        "FROM {trans_ventas} WHERE id_trans % 1000 % 3 <> 0 GROUP BY ALL"),
     "end_to_end_empty_table": "WITH " + SILVER_FACT + " " + KPI.replace("{sales}", "fact"),
     "end_to_end_missing_table": (
         "WITH " + SILVER_FACT + " SELECT table_name, (SELECT count(*) FROM (" + KPI.replace("{sales}", "fact") + ") k) AS kpi_rows FROM (VALUES "

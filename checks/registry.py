@@ -11,15 +11,17 @@ from pyspark.sql import types as T
 
 from bodega.operators import conform as C
 from bodega.operators import ingest as I
-from bodega.operators import layout, marts, model, quality, rfm
+from bodega.operators import files, layout, marts, model, quality, rfm
 from bodega.operators.joins import heavy_keys, skew_join
-from bodega.plans.bronze import BronzeRun, ingest_all, read_bronze, read_watermarks
+from bodega.plans.bronze import BronzeRun, compact_store, ingest_all, read_bronze, read_misfits, read_watermarks
 from bodega.plans.full_run import run_medallion
-from bodega.plans.gold import GOLD_TABLES, gold_rules, read_gold
+from bodega.plans.gold import CLUSTERED, GOLD_TABLES, gold_rules, read_gold
+from bodega.plans.incremental import IncrementalSilver, conform_all_new, read_current
 from bodega.plans.silver import SilverRun, conform_all, read_silver
-from bodega.schemas import AUDIT_SCHEMA, PARTITION_COLUMNS, TABLES, WATERMARK_SCHEMA
-from bodega.session import folder_bytes, path_exists, scratch_path
+from bodega.schemas import AUDIT_SCHEMA, PARTITION_COLUMNS, STORED_PARTITIONS, TABLES, WATERMARK_SCHEMA
+from bodega.session import folder_bytes, materialize, path_exists, scratch_path
 from bodega.sources import tables as S
+from bodega.sources import versions
 from bodega.sources.origins import FileSource, FrameSource, read_full, read_incremental
 from bodega.streaming.files import stream_batch, stream_to_bronze
 from checks.fixtures import view
@@ -673,3 +675,147 @@ def scan_csv(spark, sf):
     base = scratch_path(spark, "csv")
     view(spark, sf, "inv_stock_diario").write.options(header="true", nullValue="").csv(f"{base}/inv_stock_diario")
     return read_incremental(spark, FileSource(base, "csv"), STOCK, "fec_snapshot", SPLIT[:10])
+
+
+# ---------------------------------------------------------------- upkeep: files, versions, batches
+
+@query
+def compact_small_files(spark, sf):
+    """Half of the sales in one file and the rest in 20 small appends; the small files are merged, the large one stays."""
+    path = scratch_path(spark, "compact")
+    sales = materialize(view(spark, sf, "trans_ventas"), "sales")
+    part = F.pmod(F.xxhash64("id_trans"), F.lit(40))
+    S.write_table(sales.where(part >= 20).coalesce(1), path)
+    for i in range(20):
+        S.write_table(sales.where(part == i).coalesce(1), path, mode="append")
+    before = {r["path"]: r["bytes"] for r in files.listed(spark, path).collect()}
+    target = max(before.values())
+    files.compact(spark, path, sales.schema, target=target)
+    again = files.compact(spark, path, sales.schema, target=target)
+    after = {r["path"]: r["bytes"] for r in files.listed(spark, path).collect()}
+    large = {p for p, size in before.items() if size == target}
+    return S.read_table(spark, path, schema=sales.schema).agg(
+        F.count("*").alias("rows"), F.sum("qty_vendida").alias("qty"), F.sum("descuento_aplicado").alias("discount")).withColumns({
+            "fewer": F.lit(len(after) < 5 < len(before)), "none_above": F.lit(max(after.values()) <= target),
+            "large_kept": F.lit(large <= set(after)), "rewritten_again": F.lit(again.rewritten).cast("long")})
+
+
+@query
+def cluster_skips_files(spark, sf):
+    """Of each column of the three clustered tables: rows of one value read through the zone map, and whether clustering
+    leaves less than half of the files to be opened."""
+    tables = {
+        "fact_ventas": (sales_fact(spark, sf), {"canal_venta": "Web", "art_id": 77, "id_tienda": 3}),
+        "fact_inventario": (inventory(spark, sf), {"art_id": 77, "id_tienda": 3}),
+        "fact_rfm_clientes": (rfm.rfm_groups(rfm.rfm_scores(metrics(spark, sf))), {"grupo_valor": "Champions"}),
+    }
+    found = []
+    for name, (rows, values) in tables.items():
+        rows = materialize(rows, name)
+        columns = CLUSTERED[name]
+        zones = {}
+        for kind, laid in (("clustered", layout.cluster(rows, columns, files=32)), ("plain", rows.repartition(32))):
+            path = scratch_path(spark, kind)
+            S.write_table(laid, path)
+            zones[kind] = files.ZoneMap(path, f"{path}-zones", rows.schema, columns)
+            zones[kind].refresh(spark)
+        for column, value in values.items():
+            ranges = {column: (value, value)}
+            share = {k: z.files(spark, ranges).count() / files.listed(spark, z.path).count() for k, z in zones.items()}
+            read = zones["clustered"].scan(spark, ranges).count()
+            found.append((name, column, read, share["clustered"] < 0.5 * share["plain"]))
+    return spark.createDataFrame(found, "table_name string, column_name string, rows bigint, skips boolean")
+
+
+def resent(sales: DataFrame) -> DataFrame:
+    """Every fiftieth sale again, ten years later and with one piece more."""
+    return sales.where("id_trans % 50 = 1").withColumns({
+        "fec_trans": F.expr("fec_trans + INTERVAL 10 YEARS"), "qty_vendida": F.col("qty_vendida") + 1})
+
+
+def three_runs(spark, sf, check=lambda silver, n: None) -> IncrementalSilver:
+    """Three bronze runs, each followed by an incremental silver run: early members and sales, then all, then corrections."""
+    root = scratch_path(spark, "incremental")
+    sales, members = (materialize(view(spark, sf, t), t) for t in ("trans_ventas_raw", "crm_miembros"))
+    early, known = F.col("fec_trans") <= F.lit(SPLIT).cast("timestamp_ntz"), F.col("fec_ultima_compra") <= "1992-01-01"
+    runs = ((sales.where(early), members.where(known)), (sales, members), (resent(sales), members))
+    for n, (sold, people) in enumerate(runs):
+        bronze = BronzeRun(f"{root}/bronze", SOURCE, batch_id=f"batch-{n}", run_ts=RUN_TS + dt.timedelta(days=n))
+        ingest_all(spark, FrameSource({SALES: sold, MEMBERS: people}), bronze, [MEMBERS, SALES])
+        silver = IncrementalSilver(f"{root}/silver", bronze, buckets=16)
+        conform_all_new(spark, silver, [MEMBERS, SALES])
+        check(silver, n)
+    return silver
+
+
+@query
+def silver_incremental(spark, sf):
+    """Sales in force after three incremental runs, with their reject cause."""
+    return read_current(spark, three_runs(spark, sf), SALES).drop(*AUDIT_COLUMNS)
+
+
+@query
+def overwrite_survives_failure(spark, sf):
+    """Stores overwritten by a job that dies midway: the version before, read by path and by name."""
+    path = scratch_path(spark, "versions")
+    stores = view(spark, sf, "mstr_tiendas")
+    name = f"versions_check.tiendas_{path[-8:]}"
+    versions.overwrite(stores, path, name=name)
+    dies = stores.withColumn("id_tienda", F.when(F.col("id_tienda") == 7, F.raise_error(F.lit("dies here")).cast("long"))
+                             .otherwise(F.col("id_tienda") + 1000))
+    try:
+        versions.overwrite(dies.repartition(4, "id_tienda"), path, name=name)
+    except Exception as error:  # noqa: BLE001 - whatever Spark wraps it in
+        if "dies here" not in str(error):
+            raise
+    by_path = versions.read_current(spark, path, schema=stores.schema).withColumn("read_by", F.lit("path"))
+    return by_path.unionByName(spark.table(name).withColumn("read_by", F.lit("name")))
+
+
+@query
+def ingest_misfits_once(spark, sf):
+    """Three runs over sales of which some dates cannot be read: each such row is kept apart once."""
+    root = scratch_path(spark, "misfits")
+    text = view(spark, sf, "trans_ventas").withColumn(
+        "fec_trans", F.when(F.col("id_trans") % 101 == 0, "no date").otherwise(F.col("fec_trans").cast("string")))
+    given = materialize(text, "text-sales")
+    for n in range(3):
+        run = BronzeRun(root, SOURCE, batch_id=f"batch-{n}", run_ts=RUN_TS + dt.timedelta(days=n))
+        ingest_all(spark, FrameSource({SALES: given}), run, [SALES])
+    return read_misfits(spark, run, SALES).select(
+        F.get_json_object("row", "$.id_trans").cast("long").alias("id_trans"), "error_columns", "batch_id")
+
+
+@query
+def ingest_null_dates(spark, sf):
+    """Sales without a date, some of them arriving late: each is loaded by the first run that sees it, and once."""
+    root = scratch_path(spark, "undated")
+    sales = materialize(view(spark, sf, "trans_ventas").withColumn(
+        "fec_trans", F.when(F.col("id_trans") % 103 != 0, F.col("fec_trans"))), "undated-sales")
+    early = (F.col("fec_trans") <= F.lit(SPLIT).cast("timestamp_ntz")) | (F.col("fec_trans").isNull() & (F.col("art_id") % 2 == 0))
+    for n, given in enumerate((sales.where(early), sales, sales)):
+        run = BronzeRun(root, SOURCE, batch_id=f"batch-{n}", run_ts=RUN_TS + dt.timedelta(days=n))
+        ingest_all(spark, FrameSource({SALES: given}), run, [SALES])
+    return I.committed_rows(read_bronze(spark, run, SALES), read_watermarks(spark, run), SALES).select("id_trans", "fec_trans", "batch_id")
+
+
+def thousand_batches(spark, sf) -> BronzeRun:
+    """Sales as a thousand batches, of which every third has no watermark row."""
+    run = BronzeRun(scratch_path(spark, "batches"), SOURCE, batch_id="batch-1000", run_ts=RUN_TS)
+    batch = F.format_string("batch-%03d", F.pmod("id_trans", F.lit(1000)))
+    rows = audited(view(spark, sf, "trans_ventas")).withColumn("batch_id", batch)
+    S.append_partitioned(rows.repartition("batch_id"), run.table_path(SALES), STORED_PARTITIONS)
+    marks = spark.range(1000).where("id % 3 <> 0").select(
+        F.lit(SALES).alias("table_name"), F.lit(SPLIT).alias("last_watermark"),
+        F.format_string("batch-%03d", "id").alias("batch_id"), F.lit(RUN_TS).alias("version"))
+    marks.repartition(40).write.parquet(run.watermark_path)
+    compact_store(spark, run, most=20)
+    return run
+
+
+@query
+def committed_thousand_batches(spark, sf):
+    """Rows and pieces of the committed batches, told by the watermark store, whose small files are merged first."""
+    run = thousand_batches(spark, sf)
+    done = I.committed_rows(read_bronze(spark, run, SALES), read_watermarks(spark, run), SALES)
+    return done.groupBy("batch_id").agg(F.count("*").alias("rows"), F.sum("qty_vendida").alias("qty"))

@@ -4,7 +4,7 @@ import pytest
 
 from bodega.operators import ingest as I
 from bodega.plans.bronze import NO_NEW_ROWS, BronzeRun, ingest_all, read_bronze, read_watermarks
-from bodega.schemas import AUDIT_SCHEMA, TABLES
+from bodega.schemas import AUDIT_SCHEMA, STORED_PARTITIONS, TABLES
 from bodega.sources.origins import FrameSource
 
 T = "POST_DEVOLUCIONES"
@@ -53,7 +53,7 @@ def test_batch_without_watermark_is_not_seen(spark, tmp_path):
     """A run that died between data and watermark: its rows come again and count once."""
     df = returns(spark, [(1, DAYS[0])])
     lost = I.add_audit_columns(df, "s", "dead", dt.datetime(2025, 2, 1))
-    lost.write.partitionBy("year", "month", "day").parquet(run(tmp_path, 1).table_path(T))
+    lost.write.partitionBy(*STORED_PARTITIONS).parquet(run(tmp_path, 1).table_path(T))
     log, bronze = ingest(spark, tmp_path, 2, df)
     assert log["record_count"] == 1
     stored = read_bronze(spark, bronze, T)
