@@ -29,6 +29,7 @@ MOST_TIMES = 2       # no source is taken more often
 BLOCK_WORDS = 2048
 CELL_WORDS = 1 << 20  # words of one source that one task orders
 CHUNK_BLOCKS = 1 << 16  # slots that one row makes
+TASK_BLOCKS = 1 << 20   # slots that one task makes
 WORD = r"[^\x20\x09-\x0D]+"
 _CELL_DIGITS = 8     # hexadecimal digits of the digest that choose the cell
 
@@ -142,7 +143,8 @@ def schedule(goals: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
     point = F.explode(F.sequence(
         F.col("low") + F.col("chunk") * CHUNK_BLOCKS,
         F.least(F.col("high"), F.col("low") + (F.col("chunk") + 1) * CHUNK_BLOCKS) - 1))
-    slots = chunks.repartition("low", "chunk").select("source", "quota", "low", "high", point.alias("point"))
+    tasks = max(1, -(-whole // TASK_BLOCKS))  # a fixed number: the rows are few and small before they are exploded
+    slots = chunks.repartition(tasks, "low", "chunk").select("source", "quota", "low", "high", point.alias("point"))
     slots = slots.withColumn("slot", turned(F.col("point"), bits))
     rank = rank_before(F.col("slot"), F.col("point"), F.col("low"), F.col("high"), bits)
     return slots.select("slot", "source", rank.alias("block"), "quota").withColumn(
@@ -194,12 +196,12 @@ def mix(sizes: DataFrame, goals: DataFrame, block: int = BLOCK_WORDS) -> DataFra
     """What every slot reads: the pieces of documents joined with the slot that takes their block.
 
     Rows of ``pieces`` with ``slot`` (null where a document gives nothing). Sorted by slot and place in the block
-    they are the mix.
+    they are the mix. The join is told to sort and merge: the plan takes the slots for as few as the sources.
     """
     cut = pieces(laid_out(sizes, goals), block)
     slots = schedule(goals, block)
     same = cut["source"].eqNullSafe(slots["source"]) & (cut["block"] == slots["block"])
-    return cut.join(slots.select("slot", "source", "block"), same, "left").drop(slots["source"]).drop(slots["block"])
+    return cut.join(slots.select("slot", "source", "block").hint("merge"), same, "left").drop(slots["source"]).drop(slots["block"])
 
 
 def mixed(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
