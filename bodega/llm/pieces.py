@@ -12,6 +12,7 @@ import heapq
 import re
 import struct
 from array import array
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from operator import itemgetter
 from typing import NamedTuple
@@ -29,6 +30,8 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 # Words whose encoding a worker remembers before it starts afresh.
 CACHE_WORDS = 500_000
 NEVER = float("inf")
+# Characters of text whose new words are encoded together.
+LEARN_CHARS = 1 << 20
 
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:
@@ -113,6 +116,47 @@ class _Word(NamedTuple):
 _COUNT, _SIZE, _IDS, _ENDS, _SHOWN, _DECODED = map(itemgetter, range(6))
 
 
+class Pairs:
+    """Which symbols join to which piece, at what cost, as sorted arrays.
+
+    A symbol is a piece, by its id, or a single character that some piece has but that is none itself.
+    """
+
+    def __init__(self, ids: dict[str, int], cost: dict[str, float]):
+        known = dict(ids)
+        self.extra = count = max(ids.values(), default=-1) + 1  # the first symbol that is no piece
+        for piece in ids:
+            for c in piece:
+                if c not in known:
+                    known[c] = count
+                    count += 1
+        self.base = count
+        self.symbol = np.full(0x110000, -1, dtype=np.int64)
+        self.length = np.zeros(count, dtype=np.int64)
+        for text, i in known.items():
+            self.length[i] = len(text)
+            if len(text) == 1:
+                self.symbol[ord(text)] = i
+        found = {}
+        for piece, i in ids.items():
+            for cut in range(1, len(piece)):
+                a, b = known.get(piece[:cut]), known.get(piece[cut:])
+                if a is not None and b is not None:
+                    found[a * count + b] = (i, cost[piece])
+        self.key = np.array(sorted(found), dtype=np.int64)
+        self.piece = np.array([found[k][0] for k in self.key.tolist()], dtype=np.int64)
+        self.cost = np.array([found[k][1] for k in self.key.tolist()], dtype=np.float64)
+
+    def find(self, a: np.ndarray, b: np.ndarray, together: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The piece that a and b join to and its cost, ``NEVER`` where they do not or are not ``together``."""
+        if not len(self.key):
+            return np.full(len(a), -1, np.int64), np.full(len(a), NEVER)
+        key = a * self.base + b
+        at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+        hit = together & (self.key[at] == key)
+        return np.where(hit, self.piece[at], -1), np.where(hit, self.cost[at], NEVER)
+
+
 @dataclass
 class PieceModel:
     """A BPE model file of the sentencepiece library, read by hand."""
@@ -128,6 +172,7 @@ class PieceModel:
     unknown: int = 0
     end: int = -1
     cache: dict[str, _Word] = field(default_factory=dict)
+    pairs: Pairs | None = None
 
     @classmethod
     def load(cls, path: str) -> PieceModel:
@@ -242,6 +287,70 @@ class PieceModel:
             offer(i, after[i])
         return [p for p in parts if p is not None]
 
+    def learn(self, chunks: set[str]) -> None:
+        """Encode many new words at once and keep them: all of them take their next merge together.
+
+        Symbols of all words lie in one array, the cost of joining each with its neighbour in another. A
+        round joins the cheapest pair of every word, leftmost first, and looks the two new
+        neighbours up; words without a pair left are done. Words with characters that no piece has, and very long
+        ones, are left to ``word``.
+        """
+        if self.pairs is None:
+            self.pairs = Pairs(self.ids, self.cost)
+        chunks = [c for c in chunks if len(c) <= 48]
+        if not chunks:
+            return
+        if len(self.cache) + len(chunks) > CACHE_WORDS:
+            self.cache.clear()
+        sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        word = np.repeat(np.arange(len(chunks)), sizes)
+        symbol = self.pairs.symbol[np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), "<u4")]
+        strange = np.zeros(len(chunks), dtype=bool)
+        strange[word[symbol < 0]] = True
+        symbol, word = symbol[~strange[word]], word[~strange[word]]
+        done = []
+        joined, cost = self.pairs.find(symbol[:-1], symbol[1:], word[:-1] == word[1:])
+        joined, cost = np.append(joined, -1), np.append(cost, NEVER)
+        while len(symbol):
+            first = np.flatnonzero(np.diff(word, prepend=-1))
+            counts = np.diff(np.append(first, len(word)))
+            best = np.minimum.reduceat(cost, first)
+            going = np.repeat(best != NEVER, counts)
+            if not going.all():
+                done.append((word[~going], symbol[~going]))
+                word, symbol, joined, cost = word[going], symbol[going], joined[going], cost[going]
+                best, counts = best[best != NEVER], counts[best != NEVER]
+                if not len(symbol):
+                    break
+            at = np.flatnonzero(cost == np.repeat(best, counts))
+            at = at[np.diff(word[at], prepend=-1) != 0]  # the leftmost of each word
+            symbol[at] = joined[at]
+            left = np.ones(len(symbol), dtype=bool)
+            left[at + 1] = False
+            word, symbol, joined, cost = word[left], symbol[left], joined[left], cost[left]
+            at = at - np.arange(len(at))
+            near = np.concatenate([at, at[at > 0] - 1])
+            after = np.minimum(near + 1, len(symbol) - 1)
+            joined[near], cost[near] = self.pairs.find(
+                symbol[near], symbol[after], (word[near] == word[after]) & (after > near))
+        word = np.concatenate([w for w, _ in done] or [word])
+        symbol = np.concatenate([s for _, s in done] or [symbol])
+        by = np.argsort(word, kind="stable")
+        word, symbol = word[by], symbol[by]
+        strange[word[symbol >= self.pairs.extra]] = True
+        ends = np.cumsum(self.pairs.length[symbol])
+        first = np.searchsorted(word, np.arange(len(chunks) + 1))
+        base = np.concatenate([[0], ends])[first]
+        ids = symbol.astype(np.int32)
+        ends = (ends - base[word]).astype(np.int32)
+        listed, first, shown = ids.tolist(), first.tolist(), self.shown
+        raw_ids, raw_ends = ids.tobytes(), ends.tobytes()
+        for i, (chunk, other) in enumerate(zip(chunks, strange.tolist())):
+            if not other:
+                a, b = first[i], first[i + 1]
+                self.cache[chunk] = _Word(b - a, len(chunk), raw_ids[4 * a:4 * b], raw_ends[4 * a:4 * b],
+                                          " ".join([shown[x] for x in listed[a:b]]), chunk.replace(SPACE, " "))
+
     def word(self, chunk: str) -> _Word:
         """Encoding of one normalised word with the marks in front of it."""
         found = self.cache.get(chunk)
@@ -344,11 +453,30 @@ class PieceModel:
             out.append(decode_bytes(raw))
         return "".join(out)
 
+    def digests(self, texts: Iterable[str | None]) -> Iterator[tuple[int, str, str, int]]:
+        """``digest`` of each text; the new words of about ``LEARN_CHARS`` characters are encoded at once."""
+        waiting, size = [], 0
+        for text in texts:
+            waiting.append(self.normalize(text or ""))
+            size += len(waiting[-1][0])
+            if size >= LEARN_CHARS:
+                yield from self._digests(waiting)
+                waiting, size = [], 0
+        yield from self._digests(waiting)
+
+    def _digests(self, normals: list[tuple[str, np.ndarray]]) -> Iterator[tuple[int, str, str, int]]:
+        chunks = [self.chunks(normal) if normal else [] for normal, _ in normals]
+        self.learn(set().union(*chunks).difference(self.cache))
+        cache, word = self.cache, self.word
+        for (normal, origin), own in zip(normals, chunks):
+            yield self._digest(normal, origin, [cache.get(c) or word(c) for c in own])
+
     def digest(self, text: str | None) -> tuple[int, str, str, int]:
         """Number of ids with the end id, SHA-256 of the ids and of the decoded text, bytes that the
         spans cover."""
-        normal, origin = self.normalize(text or "")
-        words = self.words(normal)
+        return next(self.digests([text]))
+
+    def _digest(self, normal: str, origin: np.ndarray, words: list[_Word]) -> tuple[int, str, str, int]:
         begins, ends = self.spans(words, origin)
         shown = " ".join([*map(_SHOWN, words), str(self.end)])
         decoded = "".join(map(_DECODED, words))
@@ -407,7 +535,7 @@ def digest_table(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
     decoded_sha256 and covered_bytes (of the original text, by the pieces' spans)."""
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
         model = model_at(path)
-        made = [model.digest(t) for t in batch.column(1).to_pylist()]
+        made = list(model.digests(batch.column(1).to_pylist()))
         kinds = (pa.int64(), pa.string(), pa.string(), pa.int64())
         return [batch.column(0), *[pa.array([m[i] for m in made], kind) for i, kind in enumerate(kinds)]]
 
