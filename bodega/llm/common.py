@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bodega.session import materialize
+
 # Rows sent to Python at a time: bounds the memory of a worker where texts are very long.
 BATCH_ROWS = 200
 # Text bytes that one numpy pass covers.
@@ -67,6 +69,36 @@ def add_columns(df: DataFrame, text: str, fn: Callable[[str | None], tuple], fie
     return df.mapInArrow(run, schema)
 
 
+_OWN_NUMBERS = 1 << 62  # from here on, numbers that stand for a text of an id that other texts share
+
+
+def numbered(docs: DataFrame, key: str, text: str, name: str) -> tuple[DataFrame, bool, bool]:
+    """``docs`` with a number in ``name`` that tells texts apart; whether any id repeats, and with another text.
+
+    The number is the id. Where rows of one id hold several texts, one text keeps the id and each other gets a
+    large number of its own, the same for equal rows of it. Rows without an id have no number. Only ids and
+    digests are grouped; texts move only where ids do hold several.
+    """
+    number = column_of(docs, key).cast("long")
+    mark = F.struct(F.xxhash64(column_of(docs, text)), F.xxhash64(F.lit(1), column_of(docs, text)))
+    first, differs = free_name(docs, f"{name}_first"), free_name(docs, f"{name}_differs")
+    again = materialize(docs.select(number.alias(name), mark.alias("m")).where(F.col(name).isNotNull()).groupBy(name).agg(
+        F.count(F.lit(1)).alias("n"), F.min("m").alias(first), (F.min("m") != F.max("m")).alias(differs)).where("n > 1").drop("n"), "repeated")
+    found = again.agg(F.count(F.lit(1)), F.count_if(F.col(differs))).first()
+    if not found[1]:
+        return docs.withColumn(name, number), found[0] > 0, False
+    joined = docs.withColumn(name, number).join(again.where(F.col(differs)), name, "left")
+    salt = 0
+    while True:
+        own = F.lit(_OWN_NUMBERS) + F.xxhash64(F.lit(salt), F.col(name), column_of(docs, text)).bitwiseAND(F.lit(_OWN_NUMBERS - 1))
+        given = joined.where(F.col(first).isNotNull() & (F.col(first) != mark)).select(own.alias("o"), F.struct(F.col(name), mark).alias("m"))
+        if given.groupBy("o").agg((F.min("m") != F.max("m")).alias("clash")).where("clash").isEmpty():
+            break
+        salt += 2
+    chosen = F.when(F.col(first).isNotNull() & (F.col(first) != mark), own).otherwise(F.col(name))
+    return joined.select(*[column_of(docs, c) for c in docs.columns], chosen.alias(name)), True, True
+
+
 def bucket_of(key: str, parts: int):
     """The contract's folds: crc32 of the id written as text, modulo ``parts``."""
     return F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(parts))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bodega.llm.common import column_of, free_name, rolling, small_batches, text_chunks, word_table
+from bodega.llm.common import column_of, free_name, numbered, rolling, small_batches, text_chunks, word_table
 from bodega.session import materialize
 
 K = 8              # words of a seed
@@ -183,17 +183,18 @@ def _local_end(a: np.ndarray, b: np.ndarray, diagonal: int, band: int) -> tuple[
 def align(a: np.ndarray, b: np.ndarray, begin: int, end: int, b_begin: int, b_end: int) -> tuple[int, int] | None:
     """The words of ``a`` that the alignment around a chain covers, None where it is too short or poor.
 
-    The chain covers ``a[begin:end]`` and ``b[b_begin:b_end]``. On one diagonal the words are compared
-    directly; where words were put in or left out, a banded alignment finds the ends, forwards and
-    backwards.
+    The chain covers ``a[begin:end]`` and ``b[b_begin:b_end]``. Where both are equally long and one diagonal covers
+    all of the chain, its words are compared directly; else words were put in or left out, and a banded
+    alignment finds the ends, forwards and backwards.
     """
     shift = b_begin - begin
-    if end - begin == b_end - b_begin:
+    straight = end - begin == b_end - b_begin
+    if straight:
         low, high = max(0, -shift), min(len(a), len(b) - shift)
         first, last, equal = _best_segment(a[low:high] == b[low + shift:high + shift])
         first, last = first + low, last + low
         score = 2 * equal - (last - first)
-    else:
+    if not straight or first > begin or last < end:
         other = b_end - end
         middle, band = (shift + other) // 2, abs(shift - other) + MAX_SHIFT
         score, last, _ = _local_end(a, b, middle, band)
@@ -320,14 +321,28 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text")
 
     The document with the smallest id that has a passage keeps it and is named in ``sources``; what a
     document repeats within itself is no matter here. Words are what stands between ASCII white
-    space, in their own case. Rows without key, and null, empty or short texts, have no passage. Ids are
-    taken to be unique: rows that share one are not compared with each other, and a passage found in
-    one of them is told for the id. Other columns are not looked at; an empty table gives an
-    empty result.
+    space, in their own case. Rows without key, and null, empty or short texts, have no passage. Rows that share id
+    and text are one document. Where rows of one id hold several texts, each text is a document, and those that do not go
+    by the id come after all others (``numbered``); their passages are told under the id. Other columns are
+    not looked at; an empty table gives an empty result.
     """
-    rows = docs.where(column_of(docs, key).isNotNull()).select(
-        column_of(docs, key).cast("long").alias("doc_id"), column_of(docs, text).alias("text"))
-    small_batches(docs.sparkSession)
+    named = docs.select(column_of(docs, key).cast("long").alias("doc_id"), column_of(docs, text).alias("text"))
+    rows, _, several = numbered(named, "doc_id", "text", "node")
+    rows = rows.where("node IS NOT NULL")
+    found = _passages(rows.select(F.col("node").alias("doc_id"), "text"))
+    if not several:
+        return found
+    ids = materialize(rows.select("node", F.col("doc_id").alias("id")).distinct(), "ids")
+    own = found.join(ids, F.col("doc_id") == F.col("node")).drop("node", "doc_id")
+    each = own.withColumn("source", F.explode("sources")).drop("sources")
+    each = each.join(ids.select("node", F.col("id").alias("source_id")), F.col("source") == F.col("node"))
+    return each.groupBy(F.col("id").alias("doc_id"), "begin", "end", "n_words").agg(
+        F.sort_array(F.collect_set("source_id")).alias("sources"))
+
+
+def _passages(rows: DataFrame) -> DataFrame:
+    """``repeated_passages`` of rows (doc_id, text), where equal ids have equal texts."""
+    small_batches(rows.sparkSession)
 
     def down(c: str):
         return (F.greatest(F.col(c) - MARGIN, F.lit(0)) / GRID).cast("int") * GRID
@@ -370,11 +385,15 @@ def cut_text(text: str, spans: list[tuple[int, int]]) -> str:
 def cut_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", chars: str = "n_chars") -> DataFrame:
     """``docs`` without the passages that documents of smaller ids have, and with the length put right
     where there is a column for it. Documents of which no word is left go; documents without such a
-    passage are unchanged."""
-    found = repeated_passages(docs, key, text)
-    name, spans = free_name(docs, "_id"), free_name(docs, "_spans")
+    passage are unchanged, as are rows without an id. Rows of one id are cut each by the passages of its own
+    text. New columns are named apart from those of ``docs``. The join with the passages sorts and merges at
+    any size: they grow with the documents."""
+    name, spans = free_name(docs, "_node"), free_name(docs, "_spans")
+    rows, _, _ = numbered(docs, key, text, name)
+    node = F.col(f"`{name}`")
+    found = _passages(rows.where(node.isNotNull()).select(node.alias("doc_id"), column_of(docs, text).alias("text")))
     lists = materialize(found.groupBy(F.col("doc_id").alias(name)).agg(F.collect_list(F.struct("begin", "end")).alias(spans)), "spans")
-    joined = docs.join(lists, column_of(docs, key).cast("long") == F.col(f"`{name}`"), "left").drop(name)
+    joined = rows.join(lists.hint("merge"), name, "left").select(*[column_of(docs, c) for c in docs.columns], spans)
     small_batches(docs.sparkSession)
     at, spans_at = joined.columns.index(text), joined.columns.index(spans)
     chars_at = joined.columns.index(chars) if chars in docs.columns else None

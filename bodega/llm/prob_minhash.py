@@ -21,6 +21,7 @@ from bodega.llm.common import (
     column_of,
     free_name,
     mix,
+    numbered,
     rolling,
     small_batches,
     text_chunks,
@@ -39,6 +40,8 @@ SKETCH_SHARE = 0.7
 # Sketches that agree in this share put documents into one group, within which all are compared.
 LOOSE_SHARE = 0.5
 BLOCK_ROWS = 256
+# Parts that the rows of every loose group are dealt to where they meet their group's row.
+GROUP_SALTS = 32
 # Rounds of leaders in the buckets of one band, before what is left meets in two bands at once.
 SINGLE_ROUNDS = 2
 
@@ -121,8 +124,8 @@ def band_hashes(signature: np.ndarray) -> np.ndarray:
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """The larger of the plain and the probability Jaccard similarity of two texts, each given as
-    sorted distinct shingles and their weights.
+    """The probability Jaccard similarity of two texts, each given as sorted distinct shingles and their weights:
+    the measure that signatures estimate. Where no shingle is repeated it is the plain Jaccard similarity.
 
     The probability Jaccard similarity is the sum over shared shingles d of
     1 / sum over all shingles e of max(a_e / a_d, b_e / b_d).
@@ -131,9 +134,8 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     if not len(sa) or not len(sb):
         return 0.0
     shared, ia, ib = np.intersect1d(sa, sb, assume_unique=True, return_indices=True)
-    plain = len(shared) / (len(sa) + len(sb) - len(shared))
-    if plain >= SIMILARITY or not len(shared) or (wa.max() == 1 and wb.max() == 1):
-        return plain
+    if not len(shared) or (wa.max() == 1 and wb.max() == 1):
+        return len(shared) / (len(sa) + len(sb) - len(shared))
     # sort all shingles by the ratio of their weights: at d, those with a_e/b_e over a_d/b_d count a_e/a_d
     both_a = np.concatenate([wa, np.zeros(len(sb) - len(shared))])
     both_b = np.concatenate([np.zeros(len(sa)), np.delete(wb, ib)])
@@ -144,7 +146,7 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     above = np.concatenate([np.cumsum(both_a[order][::-1])[::-1], [0.0]])
     below = np.concatenate([[0.0], np.cumsum(both_b[order])])
     cut = np.searchsorted(ratio[order], ratio[ia], side="left")
-    return max(plain, float((1 / (above[cut] / both_a[ia] + below[cut] / both_b[ia])).sum()))
+    return float((1 / (above[cut] / both_a[ia] + below[cut] / both_b[ia])).sum())
 
 
 def text_shingles(text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -309,7 +311,9 @@ def remaining_links(loose: DataFrame, links: DataFrame, sketches: DataFrame, tex
     main = main.where("parts > 1").select(
         "group", F.col("top.part").alias("top"), F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks"),
         F.ceil((F.col("n") - F.col("top.n")) / BLOCK_ROWS).cast("int").alias("asking"))
-    rows = placed.join(main, "group").join(sketches.hint("merge"), "doc_id")
+    dealt = placed.withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(GROUP_SALTS)).cast("int"))
+    main = main.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(GROUP_SALTS - 1))))
+    rows = dealt.join(main, ["group", "_salt"]).drop("_salt").join(sketches.hint("merge"), "doc_id")
     rows = materialize(rows.join(texts.hint("merge"), "doc_id").withColumn("asks", F.col("part") != F.col("top")), "blocks")
     spread = F.xxhash64("doc_id")
     columns = ["group", "i", "j", "doc_id", "part", "sketch", "text"]
@@ -325,48 +329,67 @@ def remaining_links(loose: DataFrame, links: DataFrame, sketches: DataFrame, tex
     return met.groupBy("group", "i", "j").applyInArrow(compare, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, class_id and is_kept of every row: near duplicates share a class, named by its smallest id.
+def _classes(rows: DataFrame, repeated: bool) -> DataFrame:
+    """doc_id, class_id, is_kept of rows (doc_id, text), where equal ids have equal texts."""
+    def once(df: DataFrame) -> DataFrame:
+        return df.dropDuplicates(["doc_id"]) if repeated else df
 
-    Documents are linked when the plain or the probability Jaccard similarity of their shingles of
-    five words is 0.8 or more, and classes are the components of links; is_kept tells the smallest.
-    Copies (the same words in the same order) are one document from the start. Words are what stands
-    between ASCII white space, in their own case. A text without a word, null or empty, is alone in
-    its class. A null id has a null class and is kept. Rows of one id are one document: they share a
-    class. Other columns are not looked at; an empty table gives an empty result.
-    """
-    rows = docs.select(column_of(docs, key).cast("long").alias("doc_id"), column_of(docs, text).alias("text"))
     all_signed = materialize(signature_table(rows, "doc_id", "text"), "signatures")
     copies = materialize(all_signed.where("n_words > 0").groupBy("digest").agg(F.min("doc_id").alias("first")), "copies")
     signed = materialize(
-        some_rows(all_signed.where("n_words > 0"), copies.select(F.col("first").alias("doc_id")))
-        .select("doc_id", "sketch", "bands"), "signed")
+        once(some_rows(all_signed.where("n_words > 0"), copies.select(F.col("first").alias("doc_id")))
+             .select("doc_id", "sketch", "bands")), "signed")
     tied, sketches = loose_pairs(signed)
     loose = materialize(tied, "loose")
-    near = materialize(some_rows(rows, ids_of(loose)), "near")  # the only texts that move on
+    near = materialize(once(some_rows(rows, ids_of(loose))), "near")  # the only texts that move on
     links = materialize(verified(loose.where(F.col("share") >= SKETCH_SHARE), near), "links")
     more = materialize(remaining_links(loose.select("a", "b"), links, sketches, near), "links")
     classes = components(links.unionByName(more)).select(F.col("node").alias("first"), "component")
     named = copies.join(classes, "first", "left").select("digest", F.coalesce("component", "first").alias("class_id"))
     of_rows = all_signed.select("doc_id", "n_words", "digest").join(named, "digest", "left").select(
         "doc_id", F.when(F.col("n_words") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"))
-    of_rows = of_rows.withColumn("is_kept", F.col("doc_id") == F.col("class_id"))
-    alone = rows.where("doc_id IS NULL").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(True).alias("is_kept"))
+    return of_rows.withColumn("is_kept", F.col("doc_id") == F.col("class_id"))
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, class_id and is_kept of every row: near duplicates share a class, named by its smallest id.
+
+    Documents are linked when the probability Jaccard similarity of their shingles of five words, weighted by
+    how often a text repeats them, is 0.8 or more, and classes are the components of links; is_kept tells the
+    smallest. Copies (the same words in the same order) are one document from the start. Words are what stands
+    between ASCII white space, in their own case. A text without a word, null or empty, is alone in
+    its class. A null id has a null class and is kept. Rows that share id and text are one document. Where rows of one
+    id hold several texts, each text is a document: one goes by the id, the others by large numbers of their own
+    (``numbered``), so each has the class of its text. Other columns are not looked at; an empty table gives an empty result.
+    """
+    named = docs.select(column_of(docs, key).cast("long").alias("doc_id"), column_of(docs, text).alias("text"))
+    rows, repeated, several = numbered(named, "doc_id", "text", "node")
+    some = rows.where("node IS NOT NULL")
+    of_rows = _classes(some.select(F.col("node").alias("doc_id"), "text"), repeated)
+    if several:
+        ids = some.select("node", F.col("doc_id").alias("id")).distinct()
+        of_rows = of_rows.join(ids, F.col("doc_id") == F.col("node")).select(F.col("id").alias("doc_id"), "class_id", "is_kept")
+    alone = rows.where("node IS NULL").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(True).alias("is_kept"))
     return of_rows.unionByName(alone)
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs``, unchanged, less the near duplicates of a kept one.
 
-    Where rows repeat an id, one row of it stays. Rows without an id stay.
+    Where rows repeat an id and its text, one row of them stays: the least by a digest of its columns, so that a task run
+    again chooses the same. Rows of one id with different texts are documents of their own. Rows without an id
+    stay. The join with what goes sorts and merges at any size: what goes grows with the documents.
     """
-    classes = materialize(near_duplicates(docs, key, text).where("doc_id IS NOT NULL"), "classes")
-    name = free_name(docs, "_gone")
+    name = free_name(docs, "_node")
+    rows, repeated, _ = numbered(docs, key, text, name)
+    node = F.col(f"`{name}`")
+    known = rows.where(node.isNotNull()).select(node.alias("doc_id"), column_of(docs, text).alias("text"))
+    classes = materialize(_classes(known, repeated), "classes")
     gone = classes.where("NOT is_kept").select(F.col("doc_id").alias(name)).distinct()
-    kept = docs.join(gone, column_of(docs, key).cast("long") == F.col(f"`{name}`"), "left_anti")
-    repeated = classes.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(name))
-    if repeated.isEmpty():
-        return kept
-    same = column_of(docs, key).cast("long") == F.col(f"`{name}`")
-    once = kept.join(repeated, same, "left_semi")
-    return kept.join(repeated, same, "left_anti").unionByName(once.dropDuplicates([key]))
+    kept = rows.join(gone.hint("merge"), name, "left_anti")
+    columns = [column_of(docs, c) for c in docs.columns]
+    if not repeated:
+        return kept.select(*columns)
+    row = F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias("_row")
+    once = kept.where(node.isNotNull()).groupBy(node.alias("_of")).agg(row).select("_row.*")
+    return once.unionByName(kept.where(node.isNull()).select(*columns))

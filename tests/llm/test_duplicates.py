@@ -98,26 +98,100 @@ def test_agreement_estimates_probability_jaccard():
     s = prob_minhash.signatures(owner, np.concatenate([a[0], b[0]]), np.concatenate([a[1], b[1]]), 2, registers=6000)
     exact = sum(1 / sum(max((wa.get(e, 0) / wa[d]), (wb.get(e, 0) / wb[d])) for e in wa.keys() | wb.keys())
                 for wa, wb in [(dict(zip(*map(np.ndarray.tolist, a))), dict(zip(*map(np.ndarray.tolist, b))))] for d in wa.keys() & wb.keys())
-    assert abs(prob_minhash.similarity(a, b) - max(exact, 70 / 130)) < 1e-9
+    assert abs(prob_minhash.similarity(a, b) - exact) < 1e-9
     assert abs((s[0] == s[1]).mean() - exact) < 0.03
 
 
 # ---------------------------------------------------------------- passages
 
-def test_chain_scores_are_the_best():
+def best_chain(matches):
+    """Score of the best chain, by trying every predecessor."""
+    best = []
+    for j, (d, s) in enumerate(matches):
+        best.append(passages.K + max([0.0] + [
+            best[i] - passages.GAP_COST * (d - d2 + s - s2) for i, (d2, s2) in enumerate(matches[:j]) if d2 < d and s2 < s]))
+    return max(best)
+
+
+def chain_score(links):
+    return passages.K * len(links) - passages.GAP_COST * sum(b[0] - a[0] + b[1] - a[1] for a, b in zip(links, links[1:]))
+
+
+def test_chain_scores_are_the_best(monkeypatch):
+    monkeypatch.setattr(passages, "MAX_GAP", 10**6)  # chains as the tree makes them, uncut
+    monkeypatch.setattr(passages, "MAX_SHIFT", 10**6)
     rng = random.Random(0)
-    for _ in range(30):
-        matches = sorted({(rng.randrange(60), rng.randrange(60)) for _ in range(25)})
-        best = [0.0] * len(matches)
-        for j, (d, s) in enumerate(matches):
-            best[j] = passages.K + max([0.0] + [
-                best[i] - passages.GAP_COST * (d - d2 + s - s2) for i, (d2, s2) in enumerate(matches[:j]) if d2 < d and s2 < s])
-        top = passages.chain(matches)[0]
-        score = passages.K * len(top) - passages.GAP_COST * (top[-1][0] - top[0][0] + top[-1][1] - top[0][1])
-        if max(abs(a[0] - a[1] - b[0] + b[1]) for a, b in zip(top, [*top[1:], top[-1]])) <= passages.MAX_SHIFT / 2:
-            assert score >= max(best) - passages.K * passages.MAX_SHIFT or score <= max(best) + 1e-9
-        assert all(a[0] < b[0] and a[1] < b[1] for a, b in zip(top, top[1:]))
-        assert sorted(m for c in passages.chain(matches) for m in c) == matches
+    for size in [25] * 60 + [120] * 10:
+        matches = sorted({(rng.randrange(2 * size), rng.randrange(2 * size)) for _ in range(size)})
+        found = passages.chain(matches)
+        assert abs(chain_score(found[0]) - best_chain(matches)) < 1e-9
+        for links in found:
+            assert all(a[0] < b[0] and a[1] < b[1] for a, b in zip(links, links[1:]))
+        assert sorted(m for c in found for m in c) == matches
+
+
+def test_cut_chains_keep_their_limits():
+    rng = random.Random(3)
+    matches = sorted({(rng.randrange(400), rng.randrange(400)) for _ in range(200)})
+    found = passages.chain(matches)
+    assert sorted(m for c in found for m in c) == matches
+    for links in found:
+        for a, b in zip(links, links[1:]):
+            assert max(b[0] - a[0], b[1] - a[1]) <= passages.MAX_GAP + passages.K
+            assert abs(b[0] - b[1] - a[0] + a[1]) <= passages.MAX_SHIFT
+
+
+def edited(words, share, rng):
+    """``words`` with about this share of them changed, put in or left out."""
+    out = []
+    for i, w in enumerate(words):
+        kind = rng.randrange(3) if rng.random() < share else None
+        out += [w] if kind is None else [] if kind == 0 else [f"e{rng.randrange(10**6)}"] if kind == 1 else [w, f"e{rng.randrange(10**6)}"]
+    return out
+
+
+def test_edited_passages_are_found(spark):
+    """Recall of planted passages with 0 to 10 % of their words edited, by the words that are found."""
+    rng, docs, planted = random.Random(5), {}, {}
+    for i in range(60):
+        share = (0, 0.03, 0.06, 0.1)[i % 4]
+        passage, front = prose(1000 + i, 120), prose(2000 + i, rng.randrange(20, 90))
+        docs[i] = prose(3000 + i, 60) + passage + prose(4000 + i, 40)
+        copy = edited(passage, share, rng)
+        docs[500 + i] = front + copy + prose(5000 + i, 50)
+        planted[500 + i] = (share, len(front), len(front) + len(copy))
+    one_in_one_out = prose(9000, 120)
+    docs[900], docs[901] = one_in_one_out, prose(9001, 50) + one_in_one_out[:40] + ["put"] + one_in_one_out[40:80] + one_in_one_out[81:] + prose(9002, 30)
+    table_ = spark.createDataFrame([(d, " ".join(w)) for d, w in docs.items()], "doc_id bigint, text string").repartition(4)
+    found = defaultdict(set)
+    for r in passages.repeated_passages(table_).collect():
+        found[r["doc_id"]] |= set(range(r["begin"], r["end"]))
+    recall = defaultdict(list)
+    for d, (share, b, e) in planted.items():
+        recall[share].append(len(found[d] & set(range(b, e))) / (e - b))
+        assert len(found[d] - set(range(b, e))) <= 4
+    means = {s: np.mean(r) for s, r in recall.items()}
+    print("recall of edited passages", means)
+    assert all(means[s] >= 0.9 for s in (0, 0.03, 0.06)), means
+    assert means[0.1] >= 0.5  # few runs of eight words are left unedited; the README gives the figure
+    assert min(found[901]) in range(48, 53) and max(found[901]) in range(167, 172) and len(found[901]) >= 116
+
+
+def test_texts_that_share_an_id_are_all_kept(spark):
+    a, b, c = (" ".join(prose(70 + i, 80)) for i in range(3))
+    rows = [(1, a, "p"), (7, a, "q"), (7, b, "r"), (7, b, "s"), (8, c + " " + b, "t"), (8, c, "u"), (9, b, "v"), (None, a, "w"), (None, a, "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, `_node` string").repartition(3)
+    kept = prob_minhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    found = sorted((r["text"], r["doc_id"] or 0) for r in kept.collect())
+    assert found == sorted([(a, 1), (b, 7), (c + " " + b, 8), (c, 8), (a, 0), (a, 0)]) or found == sorted(
+        [(a, 1), (b, 9), (c + " " + b, 8), (c, 8), (a, 0), (a, 0)])
+    classes = {}
+    for r in prob_minhash.near_duplicates(docs).collect():
+        classes.setdefault(r["class_id"], []).append(r["doc_id"])
+    assert sorted(map(sorted, (v for k, v in classes.items() if k is not None))) == [[1, 7], [7, 7, 9], [8], [8]]
+    cut = {(r["doc_id"], r["_node"]): r["text"] for r in passages.cut_passages(docs).collect()}
+    assert {k for k, v in cut.items() if v == a} >= {(1, "p"), (None, "w"), (None, "x")} and cut.get((8, "u")) in (c, None)
 
 
 def test_planted_passages_are_found_and_cut(spark):
@@ -152,6 +226,18 @@ def test_passage_edges(edge_docs, no_docs):
 
 # ---------------------------------------------------------------- pipeline
 
+def test_pipeline_edges(spark, edge_docs, no_docs, tmp_path):
+    """Nulls, empty and long texts, repeated rows and clashing names through every stage."""
+    docs = edge_docs
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns == edge_docs.columns
+        docs = spark.createDataFrame(docs.collect(), edge_docs.schema)
+    corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).collect()
+    for _, stage in corpus_pipeline.STAGES[1:]:  # a model cannot be learnt from nothing
+        assert stage(spark, no_docs, str(tmp_path)).collect() == []
+
+
 def test_stages_do_what_brute_force_says(spark, sf_dir):
     docs, kept = table(spark, sf_dir, "documents"), {}
     columns = docs.columns
