@@ -696,7 +696,7 @@ def compact_small_files(spark, sf):
     large = {p for p, size in before.items() if size == target}
     return S.read_table(spark, path, schema=sales.schema).agg(
         F.count("*").alias("rows"), F.sum("qty_vendida").alias("qty"), F.sum("descuento_aplicado").alias("discount")).withColumns({
-            "fewer": F.lit(len(after) < 5 < len(before)), "none_above": F.lit(max(after.values()) <= target),
+            "fewer": F.lit(2 * len(after) < len(before)), "none_above": F.lit(max(after.values()) <= target),
             "large_kept": F.lit(large <= set(after)), "rewritten_again": F.lit(again.rewritten).cast("long")})
 
 
