@@ -76,3 +76,29 @@ def test_wrong_interval_is_noticed(spark, monkeypatch):
     assert values_at_ranks(df, {0: [1, 500, 993]}, {0: 1000}) == {
         (0, 1): (0, 0, 1), (0, 500): (499, 499, 1), (0, 993): (992, 992, 1)}
     assert len(calls) >= 1
+
+
+@pytest.mark.parametrize("name", ["distinct", "nulls", "third in one value", "large keys", "large values"])
+def test_sketches_and_ranges(spark, tmp_path, monkeypatch, name):
+    """The same tiles where every group is sketched and the histogram is cut into many ranges."""
+    monkeypatch.setattr(tiles, "WHOLE_ROWS", 0)
+    monkeypatch.setattr(tiles, "RANGE_ROWS", 7)
+    path = str(tmp_path / "t")
+    spark.createDataFrame(dict(frames())[name], "id long, v long").write.parquet(path)
+    df = spark.read.parquet(path)
+    assert rows(ntile_distributed(df, ORDERS, "id", 5)) == rows(ntile_window(df, ORDERS, "id", 5))
+
+
+def test_running_rows_use_a_task_per_range(spark, monkeypatch):
+    """Also where the histogram is the whole table, no window orders more than a range."""
+    monkeypatch.setattr(tiles, "RANGE_ROWS", 50)
+    histogram = spark.range(2**62, 2**62 + 1000).selectExpr(
+        "CAST(id % 2 AS INT) AS _group", "1 AS _segment", "id AS v0", "id % 5 + 1 AS _rows")
+    running = tiles.running_rows(histogram, ["_segment", "v0"])
+    expected = histogram.withColumn("_to", F.sum("_rows").over(Window.partitionBy("_group").orderBy("v0")))
+    assert rows(running.select("_group", "v0", "_to")) == rows(expected.select("_group", "v0", "_to"))
+    plan = running._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert windows and all("_range" in line for line in windows)
+    inputs = {f.rsplit("/", 1)[0] for f in running.inputFiles()}
+    assert sum(spark.read.parquet(p).select("_range").distinct().count() for p in inputs) >= 10
