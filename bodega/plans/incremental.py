@@ -125,6 +125,32 @@ def read_rejected(spark: SparkSession, run: IncrementalSilver, table: str) -> Da
     return rejected(read_current(spark, run, table))
 
 
+def current_buckets(spark: SparkSession, run: IncrementalSilver, table: str) -> dict[int, int]:
+    """The version in force of each bucket."""
+    return _state(spark, run, table).current
+
+
+def read_buckets(spark: SparkSession, run: IncrementalSilver, table: str, versions: dict[int, int]) -> DataFrame:
+    """Rows of the buckets given in the versions given, with ``error_reason``, ``key_bucket`` and ``version``."""
+    return _stored(spark, run, table, versions)
+
+
+def changed_buckets(spark: SparkSession, run: IncrementalSilver, table: str,
+                    since: int) -> tuple[int, dict[int, int] | None, dict[int, int]]:
+    """The table's version now; of the buckets written after version ``since``, the versions in force then and now.
+
+    None instead of the former where some of it has been pruned.
+    """
+    ledger = read_ledger(spark, run).where(F.col("table_name") == table).select("version", "touched")
+    each = ledger.select("version", F.explode("touched").alias("bucket")).groupBy("bucket").agg(
+        F.max("version").alias("now"), F.max(F.when(F.col("version") <= since, F.col("version"))).alias("then"))
+    changed = each.where(F.col("now") > since).collect()
+    then = {r["bucket"]: r["then"] for r in changed if r["then"] is not None}
+    kept = all(path_exists(spark, f"{run.path(table)}/key_bucket={b}/version={v}") for b, v in then.items())
+    last = ledger.agg(F.max("version")).first()[0] or 0
+    return last, then if kept else None, {r["bucket"]: r["now"] for r in changed}
+
+
 def _changed_verdicts(spark: SparkSession, run: IncrementalSilver, table: str, state: _State) -> tuple[set[int], bool]:
     """Buckets holding rows whose parent came or went since the table's last run, and whether there is a parent."""
     key = TABLES[table].foreign_key

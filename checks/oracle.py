@@ -162,6 +162,28 @@ SILVER_FACT = TAGGED + f""",
         CAST(fec_trans AS DATE) AS fec_venta
       FROM tagged WHERE error_reason = 'NONE')"""
 
+IN_A_BATCH = NEWEST.replace("fec_trans", "art_id DESC NULLS LAST, fec_trans")
+
+
+def merged(again: str) -> str:
+    """Sales in force after three runs: the newest row of each key, those of ``again`` sent again with another date."""
+    return (
+        f"placed AS (SELECT *, {again} AS again, row_number() OVER (PARTITION BY id_trans ORDER BY NOT ({again}) AND fec_trans > "
+        f"{SPLIT} DESC, {IN_A_BATCH}) AS place " "FROM {trans_ventas_raw}), "
+        "merged AS (SELECT * REPLACE (CASE WHEN again THEN fec_trans + INTERVAL 10 YEARS ELSE fec_trans END AS fec_trans, "
+        "CASE WHEN again THEN qty_vendida + 1 ELSE qty_vendida END AS qty_vendida) FROM placed WHERE place = 1), "
+        "held AS (SELECT *, CASE WHEN art_id IS NULL THEN 'NULL_MANDATORY_FIELD' "
+        "WHEN id_miembro NOT IN (SELECT id_miembro FROM {crm_miembros}) THEN 'INVALID_CUSTOMER_ID' ELSE 'NONE' END AS error_reason FROM merged)")
+
+
+MERGED = merged("id_trans % 50 = 1")
+MERGED_FACT = merged("id_trans % 1000 = 1") + f""",
+    fact AS (SELECT *, {NET} AS net, CASE WHEN descuento_aplicado > 0 THEN 1 ELSE 0 END AS disc, CAST(fec_trans AS DATE) AS fec_venta
+      FROM held WHERE error_reason = 'NONE'),
+    earlier AS (SELECT *, row_number() OVER (PARTITION BY id_trans ORDER BY fec_trans > {SPLIT} DESC, {IN_A_BATCH}) AS place FROM {{trans_ventas_raw}}),
+    moved AS (SELECT strftime(fec_trans, '%Y-%m') AS m FROM fact WHERE again UNION SELECT strftime(fec_trans, '%Y-%m') FROM earlier
+      WHERE place = 1 AND id_trans % 1000 = 1 AND art_id IS NOT NULL AND id_miembro IN (SELECT id_miembro FROM {{crm_miembros}}))"""
+
 _SQL = {
     "scan_full": "SELECT id_proveedor, razon_social, pais_origen, CAST(tiempo_repo_dias AS BIGINT) AS tiempo_repo_dias, calificacion_calidad, activo FROM {mstr_proveedores}",
     "scan_incremental": f"SELECT {SALE} FROM {{trans_ventas}} v WHERE v.fec_trans > {SPLIT}",
@@ -298,13 +320,23 @@ _SQL = {
         "UNION ALL SELECT 'fact_inventario', 'id_tienda', count(*) FROM {inv_stock_diario} WHERE id_tienda = 3 "
         "UNION ALL SELECT 'fact_rfm_clientes', 'grupo_valor', count(*) FROM groups_ WHERE grupo_valor = 'Champions') "
         "SELECT table_name, column_name, rows, true AS skips FROM found"),
-    "silver_incremental": (
-        "WITH placed AS (SELECT *, row_number() OVER (PARTITION BY id_trans ORDER BY id_trans % 50 <> 1 AND fec_trans > "
-        f"{SPLIT} DESC, " + NEWEST.replace("fec_trans", "art_id DESC NULLS LAST, fec_trans") + ") AS place FROM {trans_ventas_raw}), "
-        "merged AS (SELECT * REPLACE (CASE WHEN id_trans % 50 = 1 THEN fec_trans + INTERVAL 10 YEARS ELSE fec_trans END AS fec_trans, "
-        "CASE WHEN id_trans % 50 = 1 THEN qty_vendida + 1 ELSE qty_vendida END AS qty_vendida) FROM placed WHERE place = 1) "
-        f"SELECT {SALE}, CASE WHEN art_id IS NULL THEN 'NULL_MANDATORY_FIELD' "
-        "WHEN id_miembro NOT IN (SELECT id_miembro FROM {crm_miembros}) THEN 'INVALID_CUSTOMER_ID' ELSE 'NONE' END AS error_reason FROM merged"),
+    "silver_incremental": "WITH " + MERGED + f" SELECT {SALE}, error_reason FROM held",
+    "kpi_changed_dates": "WITH " + MERGED_FACT + ", kpi AS (" + KPI.replace("{sales}", "fact") + ") "
+        "SELECT *, fec_venta[:7] IN (SELECT m FROM moved) AS rewritten FROM kpi",
+    "daily_sales_changed_dates": "WITH " + MERGED_FACT + ", daily AS (SELECT CAST(fec_venta AS VARCHAR) AS fec_venta, canal_venta, id_tienda, "
+        f"CASE WHEN f.art_id = 77 AND a.art_id = 77 THEN 'MOVED' ELSE id_categ_n1 END AS id_categ_n1, {sales_measures('transacciones')} "
+        "FROM fact f LEFT JOIN {mstr_articulos} a ON f.art_id = a.art_id "
+        "GROUP BY f.fec_venta, canal_venta, id_tienda, CASE WHEN f.art_id = 77 AND a.art_id = 77 THEN 'MOVED' ELSE id_categ_n1 END) "
+        "SELECT *, fec_venta[:7] IN (SELECT m FROM moved UNION ALL SELECT strftime(fec_trans, '%Y-%m') FROM fact WHERE art_id = 77) AS rewritten FROM daily",
+    "quality_report_merged": "WITH " + MERGED + ", facts AS (SELECT count(*) FILTER (error_reason = 'NONE') AS total, "
+        "count(*) FILTER (error_reason = 'NULL_MANDATORY_FIELD') AS rejected_records, count(*) FILTER (error_reason = 'INVALID_CUSTOMER_ID') AS fk_rejected FROM held), "
+        "original AS (SELECT count(*) + count(*) FILTER (id_trans % 50 = 1) AS n FROM {trans_ventas_raw}), nulls AS ("
+        + " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS null_count FROM held WHERE error_reason = 'NONE'" for c in SALE_NAMES)
+        + f") SELECT 'TRANS_VENTAS' AS table_name, column_name, null_count, {cents('null_count * 10000', 'total')} AS null_percentage, rejected_records, fk_rejected, "
+        f"{cents('total * 10000', 'n')} AS conform_percentage, 'batch-2' AS batch_id FROM nulls, facts, original",
+    "rules_merged": "WITH " + MERGED + " SELECT 'fact_ventas_pk_not_null' AS test_name, count(*) FILTER (id_trans IS NULL) AS violations FROM held WHERE error_reason = 'NONE' "
+        "UNION ALL SELECT 'a_piece_at_least', count(*) FILTER (qty_vendida < 2) FROM held WHERE error_reason = 'NONE' "
+        "UNION ALL SELECT 'fact_ventas_no_duplicates', 0",
     "overwrite_survives_failure": (
         "SELECT id_tienda, nom_tienda, tipo_tienda, id_ciudad, id_pais, metros_cuadrados, activo, CAST(fec_apertura AS VARCHAR) AS fec_apertura, "
         "r.read_by FROM {mstr_tiendas} JOIN (VALUES ('path'), ('name')) r(read_by) ON true"),

@@ -14,9 +14,11 @@ from bodega.operators import ingest as I
 from bodega.operators import files, layout, marts, model, quality, rfm
 from bodega.operators.joins import heavy_keys, skew_join
 from bodega.plans.bronze import BronzeRun, compact_store, ingest_all, read_bronze, read_misfits, read_watermarks
+from bodega.plans.daily import DailyGold, read_daily, refresh_daily
 from bodega.plans.full_run import run_medallion
 from bodega.plans.gold import CLUSTERED, GOLD_TABLES, gold_rules, read_gold
 from bodega.plans.incremental import IncrementalSilver, conform_all_new, read_current
+from bodega.plans.quality_state import QualityState, measure_new, merged_report, merged_rules
 from bodega.plans.silver import SilverRun, conform_all, read_silver
 from bodega.schemas import AUDIT_SCHEMA, PARTITION_COLUMNS, STORED_PARTITIONS, TABLES, WATERMARK_SCHEMA
 from bodega.session import folder_bytes, materialize, path_exists, scratch_path
@@ -727,18 +729,18 @@ def cluster_skips_files(spark, sf):
     return spark.createDataFrame(found, "table_name string, column_name string, rows bigint, skips boolean")
 
 
-def resent(sales: DataFrame) -> DataFrame:
+def resent(sales: DataFrame, which: str = "id_trans % 50 = 1") -> DataFrame:
     """Every fiftieth sale again, ten years later and with one piece more."""
-    return sales.where("id_trans % 50 = 1").withColumns({
+    return sales.where(which).withColumns({
         "fec_trans": F.expr("fec_trans + INTERVAL 10 YEARS"), "qty_vendida": F.col("qty_vendida") + 1})
 
 
-def three_runs(spark, sf, check=lambda silver, n: None) -> IncrementalSilver:
+def three_runs(spark, sf, check=lambda silver, n: None, again=resent) -> IncrementalSilver:
     """Three bronze runs, each followed by an incremental silver run: early members and sales, then all, then corrections."""
     root = scratch_path(spark, "incremental")
     sales, members = (materialize(view(spark, sf, t), t) for t in ("trans_ventas_raw", "crm_miembros"))
     early, known = F.col("fec_trans") <= F.lit(SPLIT).cast("timestamp_ntz"), F.col("fec_ultima_compra") <= "1992-01-01"
-    runs = ((sales.where(early), members.where(known)), (sales, members), (resent(sales), members))
+    runs = ((sales.where(early), members.where(known)), (sales, members), (again(sales), members))
     for n, (sold, people) in enumerate(runs):
         bronze = BronzeRun(f"{root}/bronze", SOURCE, batch_id=f"batch-{n}", run_ts=RUN_TS + dt.timedelta(days=n))
         ingest_all(spark, FrameSource({SALES: sold, MEMBERS: people}), bronze, [MEMBERS, SALES])
@@ -754,6 +756,78 @@ def silver_incremental(spark, sf):
     return read_current(spark, three_runs(spark, sf), SALES).drop(*AUDIT_COLUMNS)
 
 
+FEW = "id_trans % 1000 = 1"
+
+
+def three_refreshes(spark, sf, check=lambda daily, row, n: None) -> DailyGold:
+    """The three incremental runs, after each of which fact and marts are brought up to date month by month. Few sales are corrected."""
+    root, sold = scratch_path(spark, "daily"), materialize(view(spark, sf, "mstr_articulos").select("art_id", "id_categ_n1"), "articles")
+
+    def refresh(silver: IncrementalSilver, n: int) -> None:
+        daily = DailyGold(root, silver, "month")
+        moved = F.when((F.col("art_id") == 77) & F.lit(n == 2), F.lit("MOVED")).otherwise(F.col("id_categ_n1"))
+        check(daily, refresh_daily(spark, daily, sold.withColumn("id_categ_n1", moved)), n)
+
+    return DailyGold(root, three_runs(spark, sf, refresh, lambda sales: resent(sales, FEW)), "month")
+
+
+def files_of_periods(spark, daily: DailyGold, table: str) -> DataFrame:
+    """(periodo, file) of a dated table."""
+    return read_daily(spark, daily, table).select("periodo", F.col("_metadata.file_name").alias("file")).distinct()
+
+
+def refreshed(spark, sf, table: str) -> DataFrame:
+    """A mart after three refreshes, and whether the last one wrote the row's month."""
+    before = {}
+
+    def look(daily, row, n):
+        if n == 1:
+            before["files"] = materialize(files_of_periods(spark, daily, table), "files")
+
+    daily = three_refreshes(spark, sf, look)
+    written = files_of_periods(spark, daily, table).join(before["files"], ["periodo", "file"], "left_anti")
+    written = written.select("periodo").distinct().withColumn("_written", F.lit(True))
+    return read_daily(spark, daily, table).join(written, "periodo", "left").withColumn(
+        "rewritten", F.coalesce("_written", F.lit(False))).drop("_written", "periodo")
+
+
+@query
+def kpi_changed_dates(spark, sf):
+    """Executive KPIs of which the third refresh, with corrected sales, writes the months these left or came to."""
+    return refreshed(spark, sf, "kpi_ejecutivo_diario")
+
+
+@query
+def daily_sales_changed_dates(spark, sf):
+    """Daily sales by category; the third refresh also writes the months of an article that changed its category."""
+    return refreshed(spark, sf, "agg_ventas_diarias")
+
+
+def three_measures(spark, sf, check=lambda state, new, n: None) -> QualityState:
+    """The three incremental runs, after each of which the new versions of buckets are counted."""
+    root = scratch_path(spark, "quality")
+
+    def state(silver: IncrementalSilver) -> QualityState:
+        return QualityState(root, silver, {SALES: [
+            quality.not_null("fact_ventas_pk_not_null", "id_trans"), quality.in_range("a_piece_at_least", "qty_vendida", low=2)]},
+            {SALES: "fact_ventas_no_duplicates"})
+
+    return state(three_runs(spark, sf, lambda silver, n: check(state(silver), measure_new(spark, state(silver), SALES), n)))
+
+
+@query
+def quality_report_merged(spark, sf):
+    """The column report after three runs, summed from the counts each run took of what it wrote."""
+    report = merged_report(spark, three_measures(spark, sf), SALES, "batch-2")
+    return report.where(~F.col("column_name").isin(AUDIT_COLUMNS))
+
+
+@query
+def rules_merged(spark, sf):
+    """Row rules and repeated rows after three runs, summed in the same way."""
+    return merged_rules(spark, three_measures(spark, sf), SALES)
+
+
 @query
 def overwrite_survives_failure(spark, sf):
     """Stores overwritten by a job that dies midway: the version before, read by path and by name."""
