@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+from bisect import bisect_right
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
@@ -47,7 +48,10 @@ BAD_WORDS = frozenset(
     "legal toolbar".split())
 GOOD_WORDS = frozenset("article content main post entry story body text".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|<", re.S)
+_NAME_END = re.compile(r"[\s/>]")
+_TAG_END = re.compile("[>\"']")
+_FAR = re.compile(r"&#0*+[0-9]{8,};?")  # beyond all characters
+_ZEROS = re.compile(r"&#0++(?=[1-9])")
 _NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORDS = re.compile("[A-Z]?[a-z]+|[A-Z]+")
 
@@ -70,24 +74,91 @@ def name_words(attributes: str) -> frozenset[str]:
     return frozenset(w.lower() for w in _WORDS.findall(found))
 
 
+class Tags:
+    """Tags and comments of a page from left to right, in time linear in its length.
+
+    A tag ends at the first ``>`` outside quotes. Where there is none, ``<`` is text. Places from which
+    no such ``>`` is found are kept, so that no stretch of the page is searched in vain again and again.
+    """
+
+    def __init__(self, html: str):
+        self.html = html
+        self.last = html.rfind(">")
+        self.name_end = -1  # first end of a name at or after the last name's beginning
+        self.open: bytearray | None = None  # 1 where a tag that goes on there, outside quotes, has no end
+
+    def after(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """(begin, end, slash, name, attributes) of the first at or after a place; comments have no name."""
+        html = self.html
+        while (at := html.find("<", at)) >= 0:
+            mark = html[at + 1:at + 2]
+            if mark == "!" and html.startswith("<!--", at):
+                end = html.find("-->", at + 4)
+                return at, end + 3 if end >= 0 else len(html), "", "", ""
+            if at < self.last:
+                if mark == "!" or mark == "?":
+                    return at, html.find(">", at) + 1, "", "", ""
+                begin = at + 2 if mark == "/" else at + 1
+                first = html[begin]
+                if first.isascii() and first.isalpha():
+                    if self.name_end < begin:
+                        self.name_end = _NAME_END.search(html, begin).start()
+                    end = self._end(self.name_end)
+                    if end >= 0:
+                        return at, end + 1, html[at + 1:begin], html[begin:self.name_end].lower(), html[self.name_end:end]
+            at += 1
+        return None
+
+    def _end(self, at: int) -> int:
+        html, passed = self.html, []
+        while at <= self.last and not (self.open and self.open[at]):
+            found = _TAG_END.search(html, at).start()
+            if html[found] == ">":
+                return found
+            passed.append((at, found + 1))
+            at = html.find(html[found], found + 1) + 1
+            if not at:
+                break
+        if passed and self.open is None:
+            self.open = bytearray(len(html))
+        for begin, end in passed:
+            self.open[begin:end] = b"\x01" * (end - begin)
+        return -1
+
+
+def characters(text: str) -> str:
+    """The text with character references decoded, however many digits they have."""
+    if "&" not in text:
+        return text
+    try:
+        return unescape(text)
+    except ValueError:  # more digits than Python makes a number of
+        return unescape(_ZEROS.sub("&#", _FAR.sub("\ufffd", text)))
+
+
 def parse(html: str | None) -> list[Block]:
     """Blocks of a page, parents before children; inline elements belong to the block around them.
 
     Open elements are closed where HTML closes them: paragraphs by any block, list items and cells by
-    their like, everything by the end of what holds it. Stray end tags are passed over.
+    their like, everything by the end of what holds it. Stray end tags are passed over. The work is
+    linear in the page's length, whatever its tags.
     """
     html = html or ""
     blocks = [Block("html", -1, frozenset())]
-    stack: list[tuple[str, int]] = [("html", 0)]  # open blocks: element and number
-    links = hidden = 0
+    # Open blocks: element, number, and place in the stack of the nearest scope (cells apart).
+    stack: list[tuple[str, int, int]] = [("html", 0, 0)]
+    places: dict[str, list[int]] = defaultdict(list)  # of an element's open blocks in the stack
+    endless: set[str] = set()  # elements without an end tag further on
+    tags = Tags(html)
+    links = 0
     at, place = 0, 0
 
     def put(text: str) -> None:
         nonlocal place
-        if not text or hidden:
+        if not text:
             return
         block = blocks[stack[-1][1]]
-        text = unescape(text)
+        text = characters(text)
         block.runs.append((place, text))
         place += 1
         n = len("".join(text.split()))
@@ -96,65 +167,55 @@ def parse(html: str | None) -> list[Block]:
 
     def close(upto: int) -> None:
         nonlocal place
+        for tag, _, _ in stack[upto:]:
+            places[tag].pop()
         del stack[upto:]
         place += 1
 
-    while at < len(html):
-        token = _TOKEN.search(html, at)
-        if not token:
-            put(html[at:])
-            break
-        put(html[at:token.start()])
-        at = token.end()
-        tag = (token[2] or "").lower()
+    while found := tags.after(at):
+        begin, end, slash, tag, attributes = found
+        put(html[at:begin])
+        at = end
         if not tag:
-            if token[0] == "<":
-                put("<")
             continue
-        if token[1]:  # an end tag
+        if slash:
             if tag == "a":
                 links = 0
-            elif tag in BLOCKS:
-                upto = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), 0)
-                if upto and tag not in ("html", "body"):
-                    close(upto)
-            continue
-        if tag in RAW:
-            end = re.compile(f"</{re.escape(tag)}\\s*>", re.I).search(html, at)
-            at = end.end() if end else len(html)
+            elif places.get(tag):
+                close(places[tag][-1])
             continue
-        if tag in HIDDEN:  # what it holds is passed over by its end tag, where it has one
-            if tag not in ("head",):
-                end = re.compile(f"</{tag}\\s*>", re.I).search(html, at)
-                at = end.end() if end else at
+        if tag in RAW or tag in HIDDEN and tag != "head":  # what it holds is passed over
+            over = None if tag in endless else re.compile(f"</{tag}\\s*+>", re.I).search(html, at)
+            if over:
+                at = over.end()
+            elif tag in RAW:
+                at = len(html)
+            else:
+                endless.add(tag)
             continue
         if tag == "a":
             links = 1
             blocks[stack[-1][1]].links += 1
-        elif tag in ("br", "img", "wbr"):
-            put(" " if tag == "br" else "")
+        elif tag == "br":
+            put(" ")
         if tag not in BLOCKS or tag in ("html", "body"):
             continue
-        for i in range(len(stack) - 1, 0, -1):  # a block ends an open paragraph
-            if stack[i][0] == "p":
-                close(i)
-                break
-            if stack[i][0] in SCOPES:
-                break
-        if tag in ENDS:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] in ENDS[tag]:
-                    close(i)
-                elif stack[i][0] in SCOPES and stack[i][0] not in ("td", "th"):
-                    break
+        if stack[-1][0] == "p":  # any block ends an open paragraph, so it can only be the last
+            close(len(stack) - 1)
+        scope = stack[-1][2]
+        ended = [places[like][i] for like in ENDS.get(tag, ()) if (i := bisect_right(places[like], scope)) < len(places[like])]
+        if ended:
+            close(min(ended))
         if tag[0] == "h" and tag[1:].isdigit() and stack[-1][0][0] == "h" and stack[-1][0][1:].isdigit():
             close(len(stack) - 1)
-        blocks.append(Block(tag, stack[-1][1], name_words(token[3])))
+        blocks.append(Block(tag, stack[-1][1], name_words(attributes)))
         place += 1
         if tag not in VOID:
-            stack.append((tag, len(blocks) - 1))
+            places[tag].append(len(stack))
+            stack.append((tag, len(blocks) - 1, len(stack) if tag in SCOPES and tag not in ("td", "th") else stack[-1][2]))
         if tag in GOOD_TAGS or tag in BAD_TAGS:
             links = 0
+    put(html[at:])
     for block in reversed(blocks):
         block.below += block.own
         block.below_linked += block.linked

@@ -1,5 +1,6 @@
 import itertools
 import math
+import time
 
 import numpy as np
 import pytest
@@ -137,6 +138,76 @@ def test_messages_give_the_exact_marginals(seed):
     assert np.allclose(model.marginals(blocks), weight[:, 1] / weight.sum(axis=1))
 
 
+HALF = 500_000
+HOSTILE = {
+    "tags without an end": "<a " * (HALF // 3),
+    "one quote at the end": "<a " * (HALF // 3) + '">',
+    "names without an end": "<a" * (HALF // 2) + '/">',
+    "both quotes": "<a \"'" * (HALF // 5) + ">",
+    "buttons": "<button>" * (HALF // 8),
+    "stray end tags": "<address>" * (HALF // 18) + "</div>" * (HALF // 12),
+    "rows below no table": "<td><table>" + "<address>" * (HALF // 36) + "<tr>" * (HALF // 16),
+    "lone signs": "<" * HALF + ">",
+    "comments": "<!--" * (HALF // 4),
+    "many zeros": "&#" + "0" * HALF + "65;",
+    "no such character": "&#" + "9" * HALF + ";",
+}
+
+
+@pytest.mark.parametrize("name", HOSTILE)
+def test_page_work_is_linear(name):
+    model = main_text.Potentials.learn({})
+    start = time.process_time()
+    main_text.extract(HOSTILE[name], model)
+    assert time.process_time() - start < 10
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from("<>/!-?\"'= abp"), max_size=40))
+def test_tags_are_found_as_by_trying_every_place(html):
+    def end_of(at):
+        quote = ""
+        for i in range(at, len(html)):
+            if quote:
+                quote = "" if html[i] == quote else quote
+            elif html[i] == ">":
+                return i
+            elif html[i] in "\"'":
+                quote = html[i]
+        return -1
+
+    wanted, at = [], 0
+    while at < len(html):
+        begin, at = at, at + 1
+        if html[begin] != "<":
+            continue
+        if html.startswith("<!--", begin):
+            end = html.find("-->", begin + 4)
+            at = end + 3 if end >= 0 else len(html)
+            wanted.append((begin, at, "", "", ""))
+        elif html[begin + 1:begin + 2] in ("!", "?"):
+            end = html.find(">", begin)
+            if end >= 0:
+                at = end + 1
+                wanted.append((begin, at, "", "", ""))
+        else:
+            slash = "/" if html[begin + 1:begin + 2] == "/" else ""
+            first = begin + 1 + len(slash)
+            stop = next((i for i in range(first, len(html)) if html[i] in " />"), len(html))
+            if html[first:first + 1].isalpha() and (end := end_of(stop)) >= 0:
+                at = end + 1
+                wanted.append((begin, at, slash, html[first:stop], html[stop:end]))
+    tags, found, at = main_text.Tags(html), [], 0
+    while tag := tags.after(at):
+        found.append(tag)
+        at = tag[1]
+    assert found == wanted
+
+
+def test_character_references_of_any_length():
+    assert main_text.characters("&amp;&#65;&#" + "0" * 5000 + "66;&#" + "9" * 5000 + ";!") == "&AB\ufffd!"
+
+
 def test_page_table_edges(spark):
     rows = [(1, "u", PAGE, "t"), (1, "u", PAGE, "t"), (2, None, None, None), (None, "u", "", "t"), (3, "u", "<article><p>" + "long text " * 50000, "t")]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")
