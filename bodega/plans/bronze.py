@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-import time
+import threading
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from bodega.operators.files import compact
 from bodega.operators.ingest import add_audit_columns, committed_rows, conform_types, latest_watermarks, rows_after
+from bodega.plans.side_by_side import AT_ONCE, run_steps
 from bodega.schemas import (
     LOG_SCHEMA,
     STORED_PARTITIONS,
@@ -29,6 +30,7 @@ MISFIT_REASON = "VALUE_DOES_NOT_FIT_TYPE"
 MISFIT_SCHEMA = "row string, row_digest string, error_columns string, error_reason string, batch_id string"
 UNDATED_SCHEMA = "row_digest string, batch_id string"
 STORE_FILES = 200  # small files that the watermark store may have before they are made one
+_store = threading.Lock()  # two writes into one folder would clear away each other's unfinished files
 
 
 def _utc_now() -> dt.datetime:
@@ -46,6 +48,7 @@ class BronzeRun:
     run_ts: dt.datetime = field(default_factory=_utc_now)
     max_date: str | None = None
     inclusive: bool = False
+    at_once: int = AT_ONCE  # tables that are read at the same time
 
     def table_path(self, table: str) -> str:
         return f"{self.root}/{table.lower()}"
@@ -86,8 +89,9 @@ def read_watermarks(spark: SparkSession, run: BronzeRun) -> DataFrame:
 
 
 def _append_row(spark: SparkSession, row: tuple, run: BronzeRun) -> None:
-    spark.createDataFrame([row], WATERMARK_SCHEMA).coalesce(1).write.format(run.fmt).mode("append").save(
-        run.watermark_path)
+    with _store:
+        spark.createDataFrame([row], WATERMARK_SCHEMA).coalesce(1).write.format(run.fmt).mode("append").save(
+            run.watermark_path)
 
 
 def read_bronze(spark: SparkSession, run: BronzeRun, table: str) -> DataFrame:
@@ -181,23 +185,22 @@ def commit_batch(spark: SparkSession, run: BronzeRun, table: str) -> int:
 
 def ingest_all(spark: SparkSession, source: Source, run: BronzeRun,
                tables: Sequence[str] = tuple(TABLES)) -> DataFrame:
-    """Ingest table after table; one failing table is logged and does not stop the rest.
+    """Ingest all tables, some at the same time; one failing table is logged and does not stop the rest.
 
-    Returns the log of this run, which is also appended to the log table.
+    Returns the log of this run, in the order of ``tables``, which is also appended to the log table.
     """
     read_watermarks(spark, run)
     compact_store(spark, run)
     marks = {r["table_name"]: r["last_watermark"] for r in latest_watermarks(read_watermarks(spark, run)).collect()}
+
+    def step(table: str):
+        return lambda: ingest_table(spark, source, table, run, marks.get(table))
+
     log = []
-    for table in tables:
-        start = time.monotonic()
-        rows, size, status, message = 0, 0, "SUCCESS", None
-        try:
-            rows, size = ingest_table(spark, source, table, run, marks.get(table))
-            message = None if rows else NO_NEW_ROWS
-        except Exception as error:  # noqa: BLE001 - any failure of a table belongs in the log
-            status, message = "FAILED", str(error)
-        log.append(LogRow(table, rows, size, round(time.monotonic() - start, 2), run.batch_id, status, message))
+    for table, done in run_steps(spark, {t: step(t) for t in tables}, at_once=run.at_once).items():
+        rows, size = done.value or (0, 0)
+        status, message = ("SUCCESS", None if rows else NO_NEW_ROWS) if done.ok else ("FAILED", str(done.error))
+        log.append(LogRow(table, rows, size, round(done.seconds, 2), run.batch_id, status, message))
     return write_ingest_log(spark, log, run)
 
 

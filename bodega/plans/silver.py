@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -14,6 +13,7 @@ from bodega.operators.ingest import committed_rows
 from bodega.operators.joins import heavy_keys
 from bodega.operators.quality import quality_report, run_summary
 from bodega.plans.bronze import BronzeRun, read_bronze, read_watermarks
+from bodega.plans.side_by_side import AT_ONCE, run_steps
 from bodega.schemas import TABLES, TableSpec, bronze_schema
 from bodega.session import broadcast_limit, folder_bytes, path_exists, sized_shuffles
 from bodega.sources.tables import read_table, register_table, write_table
@@ -33,6 +33,7 @@ class SilverRun:
     newest_per_key: bool | None = None  # None: where a table's rows are read again by later runs
     broadcast_bytes: int | None = None  # None: the session's threshold
     catalog: str | None = None
+    at_once: int = AT_ONCE  # tables that are conformed at the same time
 
     def keeps_newest(self, spec: TableSpec) -> bool:
         """Whether only the newest row of each key stays.
@@ -117,21 +118,33 @@ def conform_table(spark: SparkSession, run: SilverRun, table: str) -> tuple[Data
 
 
 def conform_all(spark: SparkSession, run: SilverRun, tables: Sequence[str] = tuple(TABLES)) -> DataFrame:
-    """Conform all tables that bronze has, parents before children; appends the reports and the
-    summaries (with seconds), returns the summaries.
+    """Conform all tables that bronze has, some at the same time, children after their parents; appends the
+    reports and the summaries (with seconds), returns the summaries.
 
     A table that bronze never loaded is passed over; its children keep all their rows, as there is
-    no parent to check them against.
+    no parent to check them against. The first failure is raised once all other tables have ended;
+    children of a table that failed are left as they were.
     """
-    summaries = []
-    for table in tables:
-        if not path_exists(spark, run.bronze.table_path(table)):
-            continue
-        start = time.monotonic()
-        report, summary = conform_table(spark, run, table)
-        report.coalesce(1).write.format(run.fmt).mode("append").save(run.quality_path)
-        row = summary.first()
-        summaries.append((*row, round(time.monotonic() - start, 2), run.bronze.batch_id))
+    tables = [t for t in tables if path_exists(spark, run.bronze.table_path(t))]
+    needs = {t: [TABLES[t].foreign_key.parent] for t in tables if TABLES[t].foreign_key}
+
+    def step(table: str):
+        def conformed():
+            report, summary = conform_table(spark, run, table)
+            return report.schema, report.collect(), summary.first()  # a row per column of the table, and one
+        return conformed
+
+    # one number of shuffles for all: the setting is the session's, which the tables share
+    with sized_shuffles(spark, max((folder_bytes(spark, run.bronze.table_path(t)) for t in tables), default=0)):
+        done = run_steps(spark, {t: step(t) for t in tables}, needs, run.at_once)
+    for outcome in done.values():
+        if outcome.error:
+            raise outcome.error
+    if done:
+        schema = next(iter(done.values())).value[0]
+        reports = spark.createDataFrame([row for outcome in done.values() for row in outcome.value[1]], schema)
+        reports.coalesce(1).write.format(run.fmt).mode("append").save(run.quality_path)
+    summaries = [(*outcome.value[2], round(outcome.seconds, 2), run.bronze.batch_id) for outcome in done.values()]
     frame = spark.createDataFrame(summaries, SUMMARY_SCHEMA).coalesce(1)
     frame.write.format(run.fmt).mode("append").save(run.summary_path)
     return frame

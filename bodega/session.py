@@ -21,6 +21,8 @@ SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": "64m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # tables that run side by side share the executors evenly
+    "spark.scheduler.mode": "FAIR",
 }
 
 # Stored bytes per shuffle partition; adaptive execution merges partitions that turn out small.
