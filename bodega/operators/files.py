@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
@@ -75,8 +74,7 @@ def compact(spark: SparkSession, path: str, schema: T.StructType | None = None,
     planned = plan_groups(listed(spark, path, fmt), target)
     planned.write.parquet(f"{aside}/plan")
     plan = spark.read.schema(planned.schema).parquet(f"{aside}/plan")
-    small = plan.agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"),
-                     F.count_distinct("folder", "group").alias("groups")).first()
+    small = plan.agg(F.count("*").alias("n"), F.count_distinct("folder", "group").alias("groups")).first()
     if not small["n"]:
         remove_path(spark, f"{path}/{STAGING}")
         return Compaction(0, 0)
@@ -85,9 +83,11 @@ def compact(spark: SparkSession, path: str, schema: T.StructType | None = None,
     place = [F.col("_metadata.row_index").alias("_row")] if fmt == "parquet" else []
     rows = rows.where(F.col("_metadata.file_size") < int(SMALL * target)).select(
         "*", F.col("_metadata.file_path").alias("_file"), *place)
-    groups = plan.select(F.col("path").alias("_file"), F.col("folder").alias("_folder"), F.col("group").alias("_group"))
-    tasks = math.ceil(small["bytes"] / target)
-    merged = rows.join(groups, "_file").repartition(tasks, "_folder", "_group").sortWithinPartitions(
+    # a task of its own for each group, however they would hash: numbered over the list of groups
+    numbered = plan.select("folder", "group").distinct().withColumn(
+        "_task", F.row_number().over(Window.orderBy("folder", "group")) - 1)
+    groups = plan.join(numbered, ["folder", "group"]).select(F.col("path").alias("_file"), F.col("group").alias("_group"), "_task")
+    merged = rows.join(groups, "_file").repartitionById(small["groups"], "_task").sortWithinPartitions(
         *partition_by, "_group", "_file", *(["_row"] if place else []))
     merged.select(*columns, "_group").write.format(fmt).partitionBy(*partition_by, "_group").save(f"{aside}/rows")
     plan.select("path").write.parquet(f"{aside}/replaced")

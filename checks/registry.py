@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +37,7 @@ SOURCE = "RETAIL_SOURCE"
 SALES, MEMBERS, STORES = "TRANS_VENTAS", "CRM_MIEMBROS", "MSTR_TIENDAS"
 AUDIT_COLUMNS = AUDIT_SCHEMA.names
 STOCK, RETURNS = "INV_STOCK_DIARIO", "POST_DEVOLUCIONES"
+FILE_BYTES = 256 << 20  # of a file that one task writes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -683,19 +685,24 @@ def scan_csv(spark, sf):
 
 @query
 def compact_small_files(spark, sf):
-    """Half of the sales in one file and the rest in 20 small appends; the small files are merged, the large one stays."""
+    """Half of the sales in one file (or several of ``FILE_BYTES``) and the rest in 20 appends of as many small ones; the small files
+    are merged, the large ones stay."""
     path = scratch_path(spark, "compact")
-    sales = materialize(view(spark, sf, "trans_ventas"), "sales")
-    part = F.pmod(F.xxhash64("id_trans"), F.lit(40))
-    S.write_table(sales.where(part >= 20).coalesce(1), path)
-    for i in range(20):
-        S.write_table(sales.where(part == i).coalesce(1), path, mode="append")
+    part = F.least(F.pmod(F.xxhash64("id_trans"), F.lit(40)), F.lit(20)).alias("_part")
+    parts = scratch_path(spark, "sales")  # by append, so that each append reads its own rows only
+    S.write_table(view(spark, sf, "trans_ventas").select("*", part), parts, partition_by=["_part"])
+    many = max(1, math.ceil(folder_bytes(spark, f"{parts}/_part=20") / FILE_BYTES))  # one file, as long as one task can write it
+    split = S.read_table(spark, parts)
+    sales = split.drop("_part")
+    for i in (20, *range(20)):
+        appended = split.where(f"_part = {i}").drop("_part")
+        S.write_table(appended.coalesce(1) if many == 1 else appended.repartition(many), path, mode="append")
     before = {r["path"]: r["bytes"] for r in files.listed(spark, path).collect()}
     target = max(before.values())
     files.compact(spark, path, sales.schema, target=target)
     again = files.compact(spark, path, sales.schema, target=target)
     after = {r["path"]: r["bytes"] for r in files.listed(spark, path).collect()}
-    large = {p for p, size in before.items() if size == target}
+    large = {p for p, size in before.items() if size >= files.SMALL * target}
     return S.read_table(spark, path, schema=sales.schema).agg(
         F.count("*").alias("rows"), F.sum("qty_vendida").alias("qty"), F.sum("descuento_aplicado").alias("discount")).withColumns({
             "fewer": F.lit(2 * len(after) < len(before)), "none_above": F.lit(max(after.values()) <= target),

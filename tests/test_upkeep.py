@@ -16,6 +16,8 @@ from bodega.session import folder_files, path_exists
 from bodega.sources import versions as V
 from bodega.sources.origins import FrameSource
 from bodega.sources.tables import write_table
+from checks import registry
+from checks.fixtures import view
 from checks.registry import AS_OF, MEMBERS, RUN_TS, SALES, full_run, thousand_batches, three_runs
 from tests.conftest import rows
 
@@ -59,6 +61,23 @@ def test_groups_stay_below_the_target(spark):
     assert max(r["b"] for r in groups) <= 90 and {"big", "alone"}.isdisjoint(r["path"] for r in plan.collect())
 
 
+def test_each_group_is_merged_by_a_task_of_its_own(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(6000).selectExpr("id", "sha2(CAST(id AS STRING), 256) AS text")
+    df.repartition(60).write.parquet(path)
+    done = L.compact(spark, path, df.schema, target=6 * max(sizes(spark, path).values()))
+    tasks = [p.split("-part-")[1][:5] for p in sizes(spark, path)]
+    assert done.written > 8 and len(set(tasks)) == len(tasks) == done.written
+    assert rows(spark.read.schema(df.schema).parquet(path)) == rows(df)
+
+
+def test_large_parts_are_written_by_several_tasks(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(registry, "FILE_BYTES", 20_000)
+    found = registry.QUERIES["compact_small_files"](spark, sf_dir).first().asDict()
+    assert found["fewer"] and found["none_above"] and found["large_kept"] and found["rewritten_again"] == 0
+    assert found["rows"] == view(spark, sf_dir, "trans_ventas").count()
+
+
 def test_a_compaction_that_died_is_finished_or_forgotten(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "t")
     schema = appended(spark, path)
