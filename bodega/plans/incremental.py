@@ -1,8 +1,8 @@
 """Silver kept up to date batch by batch: only new batches and the key ranges they touch are read and written.
 
 The newest row of each key lies in one of a fixed number of buckets by the hash of its key. A run reads the batches that
-bronze has committed since the last one, joins them with the buckets they fall in, and writes these buckets as new
-versions; all others stay as they are. One ledger row, written last, commits the run: it names the
+bronze has committed since the last one, compares their keys with the buckets they fall in, and writes these buckets as new
+versions; all others stay as they are. Stored rows are not shuffled: those that stay are written as they are read. One ledger row, written last, commits the run: it names the
 batches it took in and the buckets it replaced, so a run that dies leaves the table as it was and is repeated
 by the next one. Results equal those of a full run that keeps the newest row of each key.
 
@@ -13,6 +13,7 @@ changes are found by the changed keys alone and their buckets written again.
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -21,12 +22,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bodega.operators.conform import ACCEPTED, REASON, accepted, dedup, rejected, standardise, tag_rows
+from bodega.operators.joins import heavy_keys
 from bodega.plans.bronze import BronzeRun, read_watermarks
 from bodega.schemas import PARTITION_COLUMNS, TABLES, TableSpec, bronze_schema
-from bodega.session import folder_bytes, path_exists, remove_path, sized_shuffles
+from bodega.session import folder_bytes, materialize, open_writers, path_exists, remove_path, sized_shuffles
 from bodega.sources.tables import read_table, write_table
 
 BUCKETS = 64
+PART_BYTES = 32 << 20  # stored bytes of new rows that one task merges
 LEDGER_SCHEMA = ("table_name string, version bigint, parent_version bigint, buckets int, batches array<string>, "
                  "touched array<int>, read_rows bigint")
 _LAYOUT = ("key_bucket", "version")
@@ -34,7 +37,7 @@ _LAYOUT = ("key_bucket", "version")
 
 @dataclass(frozen=True)
 class IncrementalSilver:
-    """Where the state lives. ``buckets`` holds for a table from its first run on; a bucket is one task's work."""
+    """Where the state lives. ``buckets`` holds for a table from its first run on."""
 
     root: str
     bronze: BronzeRun
@@ -151,6 +154,21 @@ def changed_buckets(spark: SparkSession, run: IncrementalSilver, table: str,
     return last, then if kept else None, {r["bucket"]: r["now"] for r in changed}
 
 
+def batches_since(spark: SparkSession, run: IncrementalSilver, table: str, since: int) -> list[str] | None:
+    """Batches taken in after version ``since``, if nothing else can have changed a row or its verdict; else None."""
+    ledger = read_ledger(spark, run).where((F.col("table_name") == table) & (F.col("version") >= since))
+    entries = ledger.select("version", "parent_version", "batches").collect()
+    if since not in {e["version"] for e in entries} or len({e["parent_version"] for e in entries}) > 1:
+        return None
+    return [b for e in entries if e["version"] > since for b in e["batches"]]
+
+
+def in_buckets(spark: SparkSession, run: IncrementalSilver, table: str, chosen: Sequence[int]) -> Column:
+    """Whether a row with a key lies in one of some buckets."""
+    buckets = _state(spark, run, table).buckets
+    return F.pmod(F.xxhash64(TABLES[table].key), F.lit(buckets)).cast("int").isin(list(chosen))
+
+
 def _changed_verdicts(spark: SparkSession, run: IncrementalSilver, table: str, state: _State) -> tuple[set[int], bool]:
     """Buckets holding rows whose parent came or went since the table's last run, and whether there is a parent."""
     key = TABLES[table].foreign_key
@@ -181,6 +199,37 @@ def _write_changes(run: IncrementalSilver, table: str, old: DataFrame, new: Data
     write_table(changes, run.changes_path(table), run.fmt, partition_by=["version"], dynamic=True)
 
 
+def _newest_of(old: DataFrame, raw: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Stored rows that no new row replaces, and new rows but for those of keys whose stored row is newer.
+
+    Only keys and stamps meet; few keys are in both, so the rows themselves stay where they are. Two batches are never
+    equally new: their ids differ.
+    """
+    stamp = F.struct("ingestion_timestamp", "batch_id")
+    given = raw.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(stamp).alias("_new"))
+    both = old.select(key, stamp.alias("_old")).join(given, key)
+    both = materialize(both.select(key, (F.col("_new") >= F.col("_old")).alias("_came")), "contested")
+    came = both.groupBy("_came").count().collect()
+    gone, late = ({r["_came"] for r in came} & {c} for c in (True, False))
+    kept = old.join(both.where("_came").select(key), key, "left_anti") if gone else old
+    won = raw.join(both.where("NOT _came").select(key), key, "left_anti").select(raw.columns) if late else raw
+    return kept, won
+
+
+def _one_per_key(raw: DataFrame, key: str, buckets: int, size: int) -> DataFrame:
+    """The newest row of each key (chosen before anything is hashed or filled, as in a full run), where its bucket is written.
+
+    One shuffle brings the rows of a key together and into few buckets a task; a bucket is several tasks' work where
+    it has more than ``PART_BYTES``. Keys with very many copies are combined before it.
+    """
+    if heavy_keys(raw, key):
+        raw = dedup(raw, [key])
+    parts = buckets * max(1, math.ceil(size / (PART_BYTES * buckets)))
+    whole = F.xxhash64(*[F.col(f"`{c}`") for c in raw.columns])
+    part = F.pmod(F.when(F.col(key).isNotNull(), F.xxhash64(key)).otherwise(whole), F.lit(parts)).cast("int")
+    return dedup(raw.withColumn("_part", part).repartitionById(parts, "_part"), [key, "_part"]).drop("_part")
+
+
 def conform_new(spark: SparkSession, run: IncrementalSilver, table: str) -> Row:
     """Take in a table's new batches; returns the ledger row (of which nothing is stored when nothing was new)."""
     spec = TABLES[table]
@@ -196,11 +245,8 @@ def conform_new(spark: SparkSession, run: IncrementalSilver, table: str) -> Row:
     if batches:
         reader = spark.read.format(run.bronze.fmt).schema(bronze_schema(table)).option("basePath", run.bronze.table_path(table))
         raw = reader.load([_batch_folder(run, table, b) for b in batches]).select(bronze_schema(table).names)
-    # the newest row of each key is chosen before anything is hashed or filled, as in a full run
-    fresh = standardise(dedup(raw, [spec.key]), spec)
-    columns = fresh.columns
+    columns = standardise(raw, spec).columns
     bucket = _bucket(spec, columns, state.buckets)
-    fresh = fresh.withColumn("key_bucket", bucket)
     hit = {r[0] for r in standardise(raw, spec).select(bucket).distinct().collect()} if batches else set()
     touched = sorted(hit | recheck)
     entry = (table, state.version + 1, parent_version, state.buckets, [b["batch_id"] for b in batches], touched,
@@ -212,13 +258,21 @@ def conform_new(spark: SparkSession, run: IncrementalSilver, table: str) -> Row:
         return row.first()
     replaced = {b: v for b, v in state.current.items() if b in set(touched)}
     old = _stored(spark, run, table, replaced)
-    merged = dedup(old.select(*columns, "key_bucket").unionByName(fresh), [spec.key])
-    tagged = tag_rows(merged, spec, parent).withColumn("version", F.lit(entry[1]).cast("long"))
+    kept, won = (old, raw) if not batches or not replaced else _newest_of(old, raw, spec.key)
+    # stored rows lie in their buckets, so they are written again as they are read; a verdict changes with the parents alone
+    kept = kept.select(*columns, REASON, "key_bucket")
+    if recheck:
+        kept = tag_rows(kept.drop(REASON), spec, parent).select(*columns, REASON, "key_bucket")
+    merged = kept
+    if batches:
+        size = sum(folder_bytes(spark, _batch_folder(run, table, b)) for b in batches)
+        tagged = tag_rows(standardise(_one_per_key(won, spec.key, state.buckets, size), spec), spec, parent)
+        merged = kept.unionByName(tagged.withColumn("key_bucket", bucket))
     folders = [f"{run.path(table)}/key_bucket={b}/version={v}" for b, v in replaced.items()]
     folders += [_batch_folder(run, table, b) for b in batches]
-    with sized_shuffles(spark, sum(folder_bytes(spark, f) for f in folders)):
-        laid = tagged.repartition(len(touched), "key_bucket").sortWithinPartitions("key_bucket", REASON)
-        write_table(laid, run.path(table), run.fmt, partition_by=_LAYOUT, dynamic=True)  # over what a dead run left
+    with sized_shuffles(spark, sum(folder_bytes(spark, f) for f in folders)), open_writers(spark, state.buckets):
+        write_table(merged.withColumn("version", F.lit(entry[1]).cast("long")), run.path(table), run.fmt,
+                    partition_by=_LAYOUT, dynamic=True)  # over what a dead run left
     if any(s.foreign_key and s.foreign_key.parent == table for s in TABLES.values()):
         _write_changes(run, table, old, _stored(spark, run, table, dict.fromkeys(touched, entry[1])), entry[1])
     row.coalesce(1).write.format(run.fmt).mode("append").save(run.ledger_path)

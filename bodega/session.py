@@ -92,6 +92,19 @@ def sized_shuffles(spark: SparkSession, input_bytes: int):
         spark.conf.set(name, before)
 
 
+@contextmanager
+def open_writers(spark: SparkSession, most: int):
+    """Let a write keep files of up to ``most`` partitions open in a task, so that rows that come in few partitions need
+    no sort before it; the setting is put back after."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def broadcast_limit(spark: SparkSession) -> int:
     """The session's size threshold for broadcasts in bytes; -1 when they are off."""
     return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())

@@ -226,6 +226,25 @@ def test_only_touched_buckets_are_written_and_dead_runs_do_not_count(spark, tmp_
     assert N.read_current(spark, silver, MEMBERS).count() == 202 and N.read_rejected(spark, silver, MEMBERS).count() == 2
 
 
+def test_a_bucket_is_the_work_of_several_tasks_and_late_batches_lose(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(N, "PART_BYTES", 500)
+    schema = TABLES[MEMBERS].schema
+    def silver(n, day, people):
+        run = BronzeRun(f"{tmp_path}/bronze", batch_id=f"b{n}", run_ts=RUN_TS + dt.timedelta(days=day))
+        ingest_all(spark, FrameSource({MEMBERS: spark.createDataFrame([[p.get(c) for c in schema.names] for p in people], schema)}), run, [MEMBERS])
+        held = N.IncrementalSilver(f"{tmp_path}/silver", run, buckets=2)
+        N.conform_new(spark, held, MEMBERS)
+        return held
+    first = silver(0, 5, [member(i, dt.date(2020, 1, 1)) for i in range(2000)] + [member(None, dt.date(2020, 1, 1))] * 2)
+    files = sizes(spark, first.path(MEMBERS))
+    assert len(files) > 8 and len({p.split("key_bucket=")[1][0] for p in files}) == 2
+    # an older batch that comes late takes no key from a newer one, and brings those that are new
+    late = silver(1, 1, [member(i, dt.date(2021, 1, 1), genero="M") for i in (3, 5000)] + [member(None, dt.date(2021, 1, 1))])
+    found = {r["id_miembro"]: r["genero"] for r in N.read_accepted(spark, late, MEMBERS).collect()}
+    assert len(found) == 2001 and found[3] is None and found[5000] == "M"
+    assert N.read_rejected(spark, late, MEMBERS).count() == 2 and N.read_current(spark, late, MEMBERS).count() == 2003
+
+
 def test_committed_batches_prune_partitions(spark, sf_dir):
     run = thousand_batches(spark, sf_dir)
     assert folder_files(spark, run.watermark_path) < 10  # the store is compacted
