@@ -18,7 +18,7 @@ from bodega.operators.conform import ACCEPTED, REASON, accepted
 from bodega.operators.quality import Rule, duplicate_rows
 from bodega.plans.incremental import IncrementalSilver, current_buckets, read_buckets, read_ledger
 from bodega.schemas import NULL_REASON
-from bodega.session import folder_bytes, path_exists, sized_shuffles
+from bodega.session import folder_bytes, materialize, path_exists, sized_shuffles
 from bodega.sources.tables import read_table, write_table
 
 STATE_SCHEMA = "key_bucket int, version bigint, kind string, name string, value bigint"
@@ -72,8 +72,7 @@ def measure_new(spark: SparkSession, state: QualityState, table: str) -> dict[in
                         for i, (kind, name) in enumerate(counted)])
     found = wide.select("key_bucket", "version", F.explode(entries).alias("e")).select("key_bucket", "version", "e.*")
     if table in state.duplicates:
-        surplus = duplicate_rows(accepted(rows)).groupBy("key_bucket", "version").agg(
-            F.sum(F.col("copies") - 1).alias("value"))
+        surplus = _copies(accepted(rows)).groupBy("key_bucket", "version").agg(F.sum(F.col("copies") - 1).alias("value"))
         found = found.unionByName(surplus.select("key_bucket", "version", F.lit("rule").alias("kind"),
                                                  F.lit(state.duplicates[table]).alias("name"), "value"))
     folders = [f"{state.silver.path(table)}/key_bucket={b}/version={v}" for b, v in new.items()]
@@ -82,6 +81,13 @@ def measure_new(spark: SparkSession, state: QualityState, table: str) -> dict[in
     return new
 
 
+def _copies(rows: DataFrame) -> DataFrame:
+    """``duplicate_rows``, for which only hashes are shuffled: rows whose hash comes twice are then compared in full."""
+    code = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])
+    twice = materialize(duplicate_rows(rows.select(code.alias("_hash"))).select("_hash"), "twice")
+    return duplicate_rows(rows.join(twice, code == F.col("_hash"), "left_semi"))
+
+
 def _totals(spark: SparkSession, state: QualityState, table: str) -> DataFrame:
     return read_state(spark, state, table).groupBy("kind", "name").agg(F.sum("value").alias("value"))
 
