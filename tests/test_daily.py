@@ -2,14 +2,15 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from bodega.operators import marts, model
-from bodega.operators.quality import check_rules, check_no_duplicates, in_range, not_null, quality_report
+from bodega.operators.quality import check_no_duplicates, check_rules, duplicate_rows, in_range, not_null, quality_report
 from bodega.plans import daily as D
 from bodega.plans import incremental as N
 from bodega.plans.bronze import BronzeRun, ingest_all
-from bodega.plans.quality_state import QualityState, measure_new, merged_report, merged_rules
+from bodega.plans.quality_state import QualityState, _copies, measure_new, merged_report, merged_rules
 from bodega.schemas import TABLES
 from bodega.sources.origins import FrameSource
 from tests.conftest import rows
@@ -42,7 +43,9 @@ RUNS = [
 ]
 
 
-def test_changed_dates_equal_a_full_recompute(spark, tmp_path):
+@pytest.mark.parametrize("few", [0, 10**9])
+def test_changed_dates_equal_a_full_recompute(spark, tmp_path, monkeypatch, few):
+    monkeypatch.setattr(D, "FEW", few)  # moved sales looked up by id, or their buckets taken anew
     products = spark.createDataFrame([(0, "a"), (1, "b"), (2, None)], "art_id long, id_categ_n1 string")
     for n, sales in enumerate(RUNS):
         run = D.DailyGold(f"{tmp_path}/gold", run_silver(spark, tmp_path, n, sales))
@@ -65,6 +68,29 @@ def test_changed_dates_equal_a_full_recompute(spark, tmp_path):
         marts.daily_sales(fact, other).select([c for c in D.read_daily(spark, run, D.BY_CATEGORY).columns if c != D.PERIOD]))
 
 
+def test_rows_that_stay_are_not_shuffled(spark, tmp_path, monkeypatch):
+    products = spark.createDataFrame([(0, "a")], "art_id long, id_categ_n1 string")
+    plans, write = {}, D.write_table
+
+    def look(df, path, *args, **options):
+        plans[path.rsplit("/", 1)[-1]] = df._jdf.queryExecution().optimizedPlan().toString()
+        write(df, path, *args, **options)
+
+    for n, sales in enumerate(RUNS):
+        run = D.DailyGold(f"{tmp_path}/gold", run_silver(spark, tmp_path, n, sales))
+        monkeypatch.setattr(D, "write_table", look)
+        D.refresh_daily(spark, run, products)
+    lines = plans[D.FACT].splitlines()
+    union = next(i for i, line in enumerate(lines) if "Union" in line)
+    assert not any("Rebalance" in line for line in lines[:union]) and any("Rebalance" in line for line in lines[union:])
+    assert "distinct" not in plans[D.KPIS] and "id_trans" not in plans[D.KPIS].split("Aggregate")[1].split("AS ventas_netas")[0]
+
+
+def test_copies_are_found_by_their_hashes(spark):
+    held = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (None, None), (None, None), (None, None)], "n int, t string")
+    assert rows(_copies(held)) == rows(duplicate_rows(held)) == [(1, "a", 2), (None, None, 3)]
+
+
 def test_merged_counts_equal_a_full_scan(spark, tmp_path):
     checks = [not_null("keyed", "id_trans"), in_range("few", "qty_vendida", high=8)]
     for n, sales in enumerate(RUNS):
