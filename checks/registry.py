@@ -22,7 +22,7 @@ from bodega.plans.incremental import IncrementalSilver, conform_all_new, read_cu
 from bodega.plans.quality_state import QualityState, measure_new, merged_report, merged_rules
 from bodega.plans.silver import SilverRun, conform_all, read_silver
 from bodega.schemas import AUDIT_SCHEMA, PARTITION_COLUMNS, STORED_PARTITIONS, TABLES, WATERMARK_SCHEMA
-from bodega.session import folder_bytes, materialize, path_exists, scratch_path
+from bodega.session import folder_bytes, materialize, path_exists, scratch_path, sized_shuffles
 from bodega.sources import tables as S
 from bodega.sources import versions
 from bodega.sources.origins import FileSource, FrameSource, read_full, read_incremental
@@ -89,6 +89,11 @@ def medallion_silver(spark: SparkSession, sf: str, tables: list[str]) -> SilverR
     return silver
 
 
+def sized(spark: SparkSession, sf: str):
+    """Shuffles in number by the bytes of the sales, whatever the session's number."""
+    return sized_shuffles(spark, sum(folder_bytes(spark, f"{sf}/{t}.parquet") for t in ("lineitem", "orders")))
+
+
 def tagged_sales(spark: SparkSession, sf: str) -> DataFrame:
     members = view(spark, sf, "crm_miembros")
     return C.conform(view(spark, sf, "trans_ventas_raw"), TABLES[SALES], members)
@@ -320,7 +325,8 @@ def quarantine_union(spark, sf):
     """Conformed sales written by reject cause; the rejects of all causes read back."""
     path = scratch_path(spark, "quarantine")
     tagged = tagged_sales(spark, sf)
-    S.write_table(tagged, path, partition_by=[C.REASON])
+    with sized(spark, sf):
+        S.write_table(tagged, path, partition_by=[C.REASON])
     return C.rejected(S.read_table(spark, path, schema=tagged.schema))
 
 
@@ -498,7 +504,8 @@ def kpi_ejecutivo_diario(spark, sf):
 def dq_results(spark, sf):
     """The five gold rules, over sales with repeated rows and stock with negative counts."""
     raw = model.fact_sales(view(spark, sf, "trans_ventas_raw"), view(spark, sf, "crm_miembros"))
-    return gold_rules(raw, inventory(spark, sf), rfm.rfm_groups(rfm.rfm_scores(metrics(spark, sf))))
+    with sized(spark, sf):
+        return gold_rules(raw, inventory(spark, sf), rfm.rfm_groups(rfm.rfm_scores(metrics(spark, sf))))
 
 
 @query

@@ -4,9 +4,11 @@ import re
 
 from pyspark.sql import functions as F
 
+from bodega import session
 from bodega.operators import marts, model, quality, rfm
 from bodega.plans.gold import GoldBuilder
 from bodega.sources import tables
+from checks import registry
 from checks.fixtures import view
 from checks.registry import known_sales, products, sales_fact
 
@@ -82,3 +84,17 @@ def test_builder_lists_a_table_once(spark, tmp_path):
     builder = GoldBuilder(spark, GoldRun(str(tmp_path), SilverRun(str(tmp_path), BronzeRun(str(tmp_path)))))
     builder._write("dim_tiendas", spark.range(3), str(tmp_path))
     assert builder._built("dim_tiendas") is builder._built("dim_tiendas")
+
+
+def test_partitions_of_rejects_and_rules_follow_the_input(spark, sf_dir, monkeypatch):
+    seen = []
+    monkeypatch.setattr(session, "SHUFFLE_BYTES", 10_000)
+    write, rules = registry.S.write_table, registry.gold_rules
+    def look(call):
+        return lambda *a, **k: seen.append(int(spark.conf.get("spark.sql.shuffle.partitions"))) or call(*a, **k)
+    monkeypatch.setattr(registry.S, "write_table", look(write))
+    monkeypatch.setattr(registry, "gold_rules", look(rules))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    assert registry.QUERIES["quarantine_union"](spark, sf_dir).count() > 0
+    assert registry.QUERIES["dq_results"](spark, sf_dir).count() == 5
+    assert len(seen) == 2 and min(seen) > int(before) and spark.conf.get("spark.sql.shuffle.partitions") == before
