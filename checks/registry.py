@@ -730,7 +730,7 @@ def cluster_skips_files(spark, sf):
         rows = materialize(rows, name)
         columns = CLUSTERED[name]
         zones = {}
-        for kind, laid in (("clustered", layout.cluster(rows, columns, files=32)), ("plain", rows.repartition(32))):
+        for kind, laid in (("clustered", layout.cluster(rows, columns, files=32)), ("plain", rows.coalesce(32))):
             path = scratch_path(spark, kind)
             S.write_table(laid, path)
             zones[kind] = files.ZoneMap(path, f"{path}-zones", rows.schema, columns)

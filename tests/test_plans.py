@@ -98,3 +98,13 @@ def test_partitions_of_rejects_and_rules_follow_the_input(spark, sf_dir, monkeyp
     assert registry.QUERIES["quarantine_union"](spark, sf_dir).count() > 0
     assert registry.QUERIES["dq_results"](spark, sf_dir).count() == 5
     assert len(seen) == 2 and min(seen) > int(before) and spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_the_plain_layout_is_not_shuffled(spark, sf_dir, monkeypatch):
+    plans, write = {}, registry.S.write_table
+    def look(df, path, *args, **options):
+        plans.setdefault(path.rsplit("/", 1)[-1].split("-")[0], []).append(plan(df))
+        write(df, path, *args, **options)
+    monkeypatch.setattr(registry.S, "write_table", look)
+    assert all(r["skips"] for r in registry.QUERIES["cluster_skips_files"](spark, sf_dir).collect())
+    assert len(plans["plain"]) == 3 and not any("Exchange" in p for p in plans["plain"]) and all("Exchange" in p for p in plans["clustered"])
