@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BITS = 4              # at least so many bits a column
-SAMPLE_ROWS = 20_000  # values of a text column that its bounds are taken from
+SAMPLE_ROWS = 20_000  # about so many values of a text column give its bounds
 
 
 def bits_for(files: int, columns: int) -> int:
@@ -29,18 +29,17 @@ def _as_value(df: DataFrame, column: str) -> Column:
 def range_bounds(df: DataFrame, columns: Sequence[str], bits: int = BITS) -> dict[str, list]:
     """The 2^bits - 1 inner quantiles per column, ascending.
 
-    Numbers and dates by one pass of sketches; texts, of which there are no sketches, by a sample
-    chosen by a hash. Bounds steer the layout only. A frequent value is several quantiles at once.
+    Numbers and dates by one pass of sketches; texts, of which there are no sketches, by a sample of which
+    only the text columns are read. Bounds steer the layout only. A frequent value is several quantiles at once.
     """
     shares = [i / 2**bits for i in range(1, 2**bits)]
     texts = [c for c in columns if isinstance(df.schema[c].dataType, T.StringType)]
     numbers = [c for c in columns if c not in texts]
-    bounds = {}
-    if numbers:
-        row = df.agg(*[F.percentile_approx(_as_value(df, c), shares).alias(c) for c in numbers]).first()
-        bounds = {c: list(row[c] or []) for c in numbers}
+    sketches = [F.percentile_approx(_as_value(df, c), shares).alias(c) for c in numbers]
+    row = df.agg(F.count(F.lit(1)).alias("_rows"), *sketches).first()
+    bounds = {c: list(row[c] or []) for c in numbers}
     if texts:
-        sample = df.select(*texts).orderBy(_row_hash(df)).limit(SAMPLE_ROWS).collect()
+        sample = df.select(*texts).sample(min(1.0, SAMPLE_ROWS / max(row["_rows"], 1)), seed=0).collect()
         for c in texts:
             values = sorted(r[c] for r in sample if r[c] is not None)
             bounds[c] = [values[int(s * len(values))] for s in shares] if values else []
