@@ -83,13 +83,19 @@ def fk_valid(df: DataFrame, parent: DataFrame, key: str, how: str = "left_semi")
 
 
 def tag_rows(df: DataFrame, spec: TableSpec, parent: DataFrame | None = None,
-             hot_keys: Mapping | None = None) -> DataFrame:
+             hot_keys: Mapping | None = None, absent: DataFrame | None = None) -> DataFrame:
     """Add ``error_reason``: NONE for a valid row, else the first rule it breaks.
 
     One pass instead of one anti and one semi join: the row is joined to the distinct parent
-    keys, which cannot multiply it, and both outcomes leave the same plan.
+    keys, which cannot multiply it, and both outcomes leave the same plan. With ``absent`` (see
+    ``absent_keys``) it is joined to the few keys that the parent lacks instead.
     """
     reason = F.when(~all_present(spec.mandatory), NULL_REASON)
+    if spec.foreign_key and absent is not None:
+        key = F.col(spec.foreign_key.key)
+        tagged = df.join(absent, key == F.col("_absent"), "left")
+        reason = reason.when(key.isNull() | F.col("_absent").isNotNull(), spec.foreign_key.reason)
+        return tagged.withColumn(REASON, reason.otherwise(ACCEPTED)).select(*df.columns, REASON)
     if spec.foreign_key and parent is not None:
         key = spec.foreign_key.key
         known = parent_keys(parent, key).withColumnRenamed(key, "_parent")
@@ -112,12 +118,13 @@ def standardise(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def conform(df: DataFrame, spec: TableSpec, parent: DataFrame | None = None,
-            keys: Sequence[str] | None = None, hot_keys: Mapping | None = None) -> DataFrame:
+            keys: Sequence[str] | None = None, hot_keys: Mapping | None = None,
+            absent: DataFrame | None = None) -> DataFrame:
     """All silver rules of one table; every input row leaves once, tagged valid or rejected.
 
     Personal data is hashed before rejects are told apart, so no reject keeps it in clear.
     """
-    return tag_rows(standardise(dedup(df, keys), spec), spec, parent, hot_keys)
+    return tag_rows(standardise(dedup(df, keys), spec), spec, parent, hot_keys, absent)
 
 
 def accepted(tagged: DataFrame) -> DataFrame:

@@ -8,6 +8,9 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bodega.session import folder_bytes, remove_path, scratch_path
+from bodega.sources.tables import read_table
+
 # Rows of one key that one task may join.
 TASK_ROWS = 4_000_000
 # Tasks a hot key is spread over where its rows have not been counted.
@@ -27,6 +30,24 @@ def heavy_keys(df: DataFrame, key: str, share: float = 0.01, limit: int = 100) -
     return {item["item"]: item["count"] for item in row["top"] or [] if item["count"] >= share * row["n"]}
 
 
+def absent_keys(df: DataFrame, key: str, lookup: DataFrame, lookup_key: str, most_bytes: int) -> DataFrame | None:
+    """(_absent): the non-null keys of ``df`` that ``lookup`` lacks, stored; None where they take more than ``most_bytes``.
+
+    Only keys are shuffled, each once per task however often it occurs, so a hot key needs no salt. Where they are
+    few, as they are behind a foreign key, rows are told from them by a join that moves no row of ``df``.
+    """
+    spark = df.sparkSession
+    keys = df.select(F.col(key).alias("_absent")).where(F.col("_absent").isNotNull()).distinct()
+    known = lookup.select(F.col(lookup_key).alias("_key"))
+    path = scratch_path(spark, "absent")
+    found = keys.join(known, F.col("_absent") == F.col("_key"), "left_anti")
+    found.write.parquet(path)
+    if folder_bytes(spark, path) > most_bytes:
+        remove_path(spark, path)
+        return None
+    return read_table(spark, path, schema=found.schema)
+
+
 def salts_of(rows: int) -> int:
     """Tasks that a key with so many rows is spread over."""
     return max(2, math.ceil(rows / TASK_ROWS))

@@ -76,14 +76,21 @@ def _lookup(fact: DataFrame, lookup: DataFrame, key: str, hot_keys: Mapping | No
     return fact.join(lookup, F.col(key) == F.col("_key"), "left").drop("_key")
 
 
-def fact_sales(sales: DataFrame, customers: DataFrame, hot_keys: Mapping | None = None) -> DataFrame:
+def fact_sales(sales: DataFrame, customers: DataFrame, hot_keys: Mapping | None = None,
+               absent: DataFrame | None = None) -> DataFrame:
     """Sales with validated customer, net value, discount flag and sale date.
 
-    Joined to the distinct customer keys: a member stored twice does not double its sales.
+    Joined to the distinct customer keys: a member stored twice does not double its sales. With ``absent`` (see
+    ``absent_keys``) joined to the few keys that the customers lack instead.
     """
-    known = customers.select("id_miembro").distinct().withColumn("cliente_validado", F.col("id_miembro"))
     sold = sales.select([c for c in SALE_COLUMNS if c in sales.columns])
-    return _lookup(sold, known, "id_miembro", hot_keys).withColumns({
+    if absent is not None:
+        validated = sold.join(absent, F.col("id_miembro") == F.col("_absent"), "left").withColumn(
+            "cliente_validado", F.when(F.col("_absent").isNull(), F.col("id_miembro"))).drop("_absent")
+    else:
+        known = customers.select("id_miembro").distinct().withColumn("cliente_validado", F.col("id_miembro"))
+        validated = _lookup(sold, known, "id_miembro", hot_keys)
+    return validated.withColumns({
         "cliente_anonimo_flag": M.flag(F.col("cliente_validado").isNull()),
         "vr_venta_neto": M.net_sale(
             F.col("qty_vendida"), F.col("precio_unitario_venta"), F.col("descuento_aplicado")),

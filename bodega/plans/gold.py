@@ -21,7 +21,7 @@ from bodega.operators.quality import (
     not_null,
     rule_results,
 )
-from bodega.plans.silver import SilverRun, large, read_silver
+from bodega.plans.silver import SilverRun, large, read_silver, unmatched
 from bodega.schemas import TABLES
 from bodega.session import folder_bytes, path_exists, sized_shuffles
 from bodega.sources import versions
@@ -139,8 +139,10 @@ class GoldBuilder:
 
         if self._have("TRANS_VENTAS", "dim_clientes"):
             sales = self._silver("TRANS_VENTAS")
-            hot = self._hot(sales, "id_miembro", self._path("dim_clientes"))
-            fact = model.fact_sales(sales, self._built("dim_clientes"), hot)
+            customers = self._built("dim_clientes")
+            hot, absent = unmatched(self.spark, sales, "id_miembro", customers, self._path("dim_clientes"),
+                                    self.run.broadcast_bytes)
+            fact = model.fact_sales(sales, customers, hot, absent)
             self._write("fact_ventas", fact, silver_path("TRANS_VENTAS"), bounds_from=sales)
 
         if self._have("INV_STOCK_DIARIO", "dim_productos"):

@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from bodega.operators.conform import ACCEPTED, REASON, accepted, conform, rejected
 from bodega.operators.ingest import committed_rows
-from bodega.operators.joins import heavy_keys
+from bodega.operators.joins import absent_keys, heavy_keys
 from bodega.operators.quality import quality_report, run_summary
 from bodega.plans.bronze import BronzeRun, read_bronze, read_watermarks
 from bodega.plans.side_by_side import AT_ONCE, run_steps
@@ -84,11 +84,17 @@ def large(spark: SparkSession, path: str, limit: int | None = None) -> bool:
     return folder_bytes(spark, path) > (broadcast_limit(spark) if limit is None else limit)
 
 
-def _hot_parents(spark: SparkSession, run: SilverRun, bronze: DataFrame, spec: TableSpec) -> dict | None:
-    parent = spec.foreign_key.parent
-    if not large(spark, run.tagged_path(parent), run.broadcast_bytes):
-        return None  # the parent keys are broadcast, no shuffle to be skewed
-    return heavy_keys(bronze, spec.foreign_key.key)
+def unmatched(spark: SparkSession, rows: DataFrame, key: str, lookup: DataFrame, lookup_path: str,
+              limit: int | None = None) -> tuple[dict | None, DataFrame | None]:
+    """How rows find whether ``lookup`` has their key: (hot keys, absent keys), either of them None.
+
+    Both are None where the lookup is small enough to be broadcast. A larger one is asked once per key, and the keys it
+    lacks are broadcast; only where those are too many are the rows themselves shuffled, with their hot keys salted.
+    """
+    if not large(spark, lookup_path, limit):
+        return None, None
+    absent = absent_keys(rows, key, lookup, key, broadcast_limit(spark) if limit is None else limit)
+    return (heavy_keys(rows, key), None) if absent is None else (None, absent)
 
 
 def conform_table(spark: SparkSession, run: SilverRun, table: str) -> tuple[DataFrame, DataFrame]:
@@ -99,12 +105,13 @@ def conform_table(spark: SparkSession, run: SilverRun, table: str) -> tuple[Data
     """
     spec = TABLES[table]
     bronze = committed_rows(read_bronze(spark, run.bronze, table), read_watermarks(spark, run.bronze), table)
-    parent, hot = None, None
+    parent, hot, absent = None, None, None
     if spec.foreign_key and path_exists(spark, run.tagged_path(spec.foreign_key.parent)):
         parent = read_silver(spark, run, spec.foreign_key.parent)
-        hot = _hot_parents(spark, run, bronze, spec)
+        hot, absent = unmatched(spark, bronze, spec.foreign_key.key, parent, run.tagged_path(spec.foreign_key.parent),
+                                run.broadcast_bytes)
     keys = [spec.key] if run.keeps_newest(spec) else None
-    tagged = conform(bronze, spec, parent, keys, hot)
+    tagged = conform(bronze, spec, parent, keys, hot, absent)
     with sized_shuffles(spark, folder_bytes(spark, run.bronze.table_path(table))):
         write_table(tagged, run.tagged_path(table), run.fmt, partition_by=[REASON])
     if run.catalog:
