@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bodega.llm.common import column_of, free_name, map_rows, mix, small_batches, text_chunks, word_table
+from bodega.llm.common import column_of, free_name, map_rows, small_batches, text_chunks, word_table
 
 LEAST_LENGTH = 6  # words
 LEAST_POWER = 4   # periods
@@ -38,14 +38,15 @@ class Names:
     """Suffix array of several texts' words by doubling, with the names of all levels.
 
     ``level[k][i]`` names the 2^k words from word i on: the place where suffixes that begin with them start in
-    ``order``. A text's words are unlike those of all others. A name met once is never looked at again.
+    ``order``. Equal words of two texts, told by where their texts end, have two names: else two texts that end
+    alike would never be told apart. A name met once is never looked at again.
     """
 
     def __init__(self, symbols: np.ndarray, ends: np.ndarray):
         n = len(symbols)
         order = np.argsort(symbols, kind="stable")
         first = np.ones(n, dtype=bool)
-        first[1:] = symbols[order[1:]] != symbols[order[:-1]]
+        first[1:] = (symbols[order[1:]] != symbols[order[:-1]]) | (ends[order[1:]] != ends[order[:-1]])
         name = np.empty(n, dtype=np.int64)
         name[order] = np.maximum.accumulate(np.where(first, np.arange(n), 0))
         self.order, self.ends, self.level, self.count = order, ends, [name], []
@@ -167,7 +168,7 @@ def find_runs(words: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
         return none
     text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
     starts, ends = bounds[text], bounds[text + 1]
-    names = Names(mix(words ^ mix(text.astype(np.uint64) + np.uint64(1))), ends)
+    names = Names(words, ends)
     if len(names.level) < 2:
         return none
     at, low, high, least, most = _blocks(names, starts, ends)

@@ -10,6 +10,7 @@ from fractions import Fraction
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -279,6 +280,15 @@ def test_runs_are_all_runs():
         assert found == [plain_runs(w) for w in texts]
 
 
+@pytest.mark.parametrize("ends", [("a", "b"), ("b", "a"), ("same words", "same words")])
+def test_texts_that_end_alike(ends):
+    """Texts 97 and 98 of a chunk, whose numbers are the codes of a and b, and texts with the very same words."""
+    texts = ["", *["x"] * 96, *[f"{mid} {end}" for mid, end in zip(("c d c d c d c d", "e f"), ends)], *ends, "b " * 9 + "b"]
+    found = list(periodic_runs.runs_of_texts(pa.array(texts)))
+    assert [[w.decode() for w in words] for words, _ in found] == [t.split() for t in texts]
+    assert [runs for _, runs in found] == [plain_runs(t.split()) for t in texts]
+
+
 def test_wavelet_matrix_answers_range_successors():
     rnd = np.random.default_rng(2)
     values = rnd.permutation(300)[:200]
